@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexquarry.llm.decontaminate import contamination
+from lexquarry.llm.secrets import find_secrets
 from lexquarry.llm.shard import assign_shards
 
 
@@ -22,6 +23,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(_table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
