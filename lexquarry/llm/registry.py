@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexquarry.llm.decontaminate import contamination
+from lexquarry.llm.jaccard_join import similar_documents
 from lexquarry.llm.secrets import find_secrets
 from lexquarry.llm.shard import assign_shards
 
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents")).drop("key")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
 
