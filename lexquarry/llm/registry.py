@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexquarry.llm.decontaminate import contamination
 from lexquarry.llm.jaccard_join import similar_documents
+from lexquarry.llm.lm_score import score_documents
 from lexquarry.llm.secrets import find_secrets
 from lexquarry.llm.shard import assign_shards
 
@@ -16,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents")).drop("key")
 
