@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexquarry.llm.decontaminate import contamination
 from lexquarry.llm.jaccard_join import similar_documents
+from lexquarry.llm.language_id import identify_corpus
 from lexquarry.llm.lm_score import score_documents
 from lexquarry.llm.secrets import find_secrets
 from lexquarry.llm.shard import assign_shards
@@ -25,6 +26,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_corpus(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
 
