@@ -10,6 +10,7 @@ from lexquarry.llm.decontaminate import contamination
 from lexquarry.llm.jaccard_join import similar_documents
 from lexquarry.llm.language_id import identify_corpus
 from lexquarry.llm.lm_score import score_documents
+from lexquarry.llm.mixing import mixture
 from lexquarry.llm.quality_rules import judge
 from lexquarry.llm.secrets import find_secrets
 from lexquarry.llm.shard import assign_shards
@@ -43,6 +44,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "documents"))
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(_table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"))
 
