@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from lexquarry.llm.decontaminate import contamination
 from lexquarry.llm.jaccard_join import similar_documents
 from lexquarry.llm.language_id import identify_corpus
+from lexquarry.llm.line_dedup import remove_repeated_lines
 from lexquarry.llm.lm_score import score_documents
 from lexquarry.llm.mixing import mixture
+from lexquarry.llm.quality_classifier import classify_documents
 from lexquarry.llm.quality_rules import judge
 from lexquarry.llm.secrets import find_secrets
 from lexquarry.llm.shard import assign_shards
@@ -48,10 +50,18 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_lines(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
