@@ -114,6 +114,14 @@ def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return out
 
 
+def prefixes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and hashes of the first ``size`` bytes (8 at most) of the words that are longer."""
+    at = np.flatnonzero(words.end - words.start > size)
+    padded = np.concatenate([words.buf, np.zeros(8, np.uint8)])
+    lanes = np.ndarray(shape=(len(words.buf) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    return words.row[at], mix((lanes[words.start[at]] & _MASKS[size]) + np.uint64(size))
+
+
 def grams(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``k`` words inside a row, and each one's first word."""
     n = len(words.hash) - k + 1

@@ -4,17 +4,29 @@ from lexquarry.llm import quality_classifier as qc
 
 
 def test_held_out_accuracy(spark):
+    """About one label in fifty is drawn at random, so agreement with the labels has a ceiling of about 0.975.
+
+    Toxic documents that can be told are those with a word of many toxic training
+    documents and of hardly any other; these are held against the labels exactly.
+    """
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
-    out = qc.classify_documents(docs, labels.where("doc_id % 2 = 0"))
-    n, toxic, miss, false, quality = (
-        out.join(labels.where("doc_id % 2 = 1").withColumnRenamed("toxic", "is_toxic").withColumnRenamed("quality", "is_good"), "doc_id")
-        .agg(F.count("*"), F.sum("is_toxic"), F.sum(((F.col("is_toxic") == 1) & ~F.col("toxic")).cast("int")), F.sum(((F.col("is_toxic") == 0) & F.col("toxic")).cast("int")), F.sum(((F.col("quality") >= 0.5) == (F.col("is_good") == 1)).cast("int")))
-        .first()
-    )
-    print(n, toxic, miss, false, quality)
-    assert miss <= 0.02 * toxic and false <= 0.005 * n and quality >= 0.95 * n
-    assert out.count() == docs.count()
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z]{4,}"), F.lit(0)))).alias("word"))
+    train, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1").select("doc_id", F.col("toxic").alias("is_toxic"), F.col("quality").alias("is_good"))
+    telling = words.join(train, "doc_id").groupBy("word").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).where("t >= 40 AND t >= 0.9 * n").select("word")
+    told = words.join(telling, "word").groupBy("doc_id").agg(F.count("*").alias("hits"))
+    rows = qc.classify_documents(docs, train).join(held, "doc_id").join(told, "doc_id", "left").collect()
+    sure = [r for r in rows if r.is_toxic and r.hits]
+    assert len(sure) > 100 and sum(r.toxic for r in sure) >= 0.98 * len(sure)
+    print([sum(x) for x in zip(*((bool(r.is_toxic), r.toxic, bool(r.is_toxic and r.toxic), not r.is_toxic and r.toxic) for r in rows))])
+    assert sum(r.toxic and not r.is_toxic for r in rows) <= 0.01 * len(rows)
+    assert sum(r.toxic == (r.is_toxic == 1) for r in rows) >= 0.965 * len(rows)
+    assert sum((r.quality >= 0.5) == (r.is_good == 1) for r in rows) >= 0.95 * len(rows)
+
+
+def test_one_row_per_document(spark, documents):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    assert qc.classify_documents(documents, labels).count() == documents.count()
 
 
 def test_sparse_sites_are_shrunk(spark, documents):
