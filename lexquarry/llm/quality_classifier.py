@@ -25,6 +25,7 @@ the evidence is nought; repeated rows are judged each; extra columns are not rea
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,34 +36,40 @@ from lexquarry.llm import _text as tx
 from lexquarry.scratch import save
 
 FIT_ROWS = 20_000
-BUCKETS = 1 << 20
+_FEATURE = (1 << 40) - 1
 #: Bytes of the beginnings of words.
 PREFIXES = (4, 5, 6, 7, 8)
 SIGMAS = 4.0
 MOST_FEATURES = 4096
 RIDGE, DESCENTS, PACE = 1e-4, 400, 0.15
 LEAST_ROWS = 5
-#: Toxicity from which a document is toxic: a miss costs three times a false alarm.
-TOXIC_FROM = 0.25
+TOXIC_FROM = 0.5
+#: The fit also sees so many thinned copies of each text, with a feature's chance to stay, so that
+#: features that mostly come together each carry weight alone.
+THINNED, STAYS = 2, 0.5
 MOST_EVIDENCE = 12.0
 LEAST_STRENGTH, MOST_STRENGTH = 2.0, 1000.0
 _WINDOW = 1 << 20
 
 
+def _pair(row: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return row.astype(np.int64) * np.int64(1 << 40) + (h >> np.uint64(24)).astype(np.int64)
+
+
 def _shape(row: np.ndarray, kind: int, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, tx.mix(value.astype(np.int64).view(np.uint64) * np.uint64(64) + np.uint64(kind))
 
 
 def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, bucket) features of each text."""
+    """Distinct (row, feature) of each text; a feature is a hash of 40 bits."""
     rows = np.arange(len(column))
     plain = tx.scan(column, tx.ALNUM)
     raw = tx.scan(column, tx.SPACED, lower=False)
     n = np.maximum(raw.per_row, 1)
     parts = []
     for row, h in ((plain.row, plain.hash), *(tx.prefixes(plain, size) for size in PREFIXES)):
-        pairs, times = np.unique(row.astype(np.int64) * np.int64(1 << 40) + (h >> np.uint64(24)).astype(np.int64), return_counts=True)
-        row, h = pairs >> 40, (pairs & ((1 << 40) - 1)).astype(np.uint64)
+        pairs, times = np.unique(_pair(row, h), return_counts=True)
+        row, h = pairs >> 40, (pairs & _FEATURE).astype(np.uint64) << np.uint64(24)
         often = 100 * times >= n[row]
         parts += [(row, h), (row[often], tx.mix(h[often]))]
     end = raw.buf[raw.end - 1] if len(raw.end) else np.zeros(0, np.uint8)
@@ -72,7 +79,7 @@ def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     upper = (raw.buf >= 0x41) & (raw.buf <= 0x5A)
     owner = np.repeat(rows, np.diff(raw.offsets))
     sizes = np.maximum(np.diff(raw.offsets), 1)
-    kinds = np.unique(raw.row * np.int64(1 << 40) + (raw.hash >> np.uint64(24)).astype(np.int64))
+    kinds = np.unique(_pair(raw.row, raw.hash))
     distinct = np.bincount(kinds >> 40, minlength=len(column))
     parts.append(_shape(rows, 2, np.log2(n).astype(np.int64)))
     parts.append(_shape(rows, 3, 20 * np.bincount(owner[upper], minlength=len(column)) // sizes))
@@ -80,34 +87,41 @@ def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     parts.append(_shape(rows, 5, 10 * np.bincount(raw.row[other], minlength=len(column)) // n))
     parts.append(_shape(rows, 6, np.minimum(sizes // n, 30)))
     row, h = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    pairs = np.unique(row.astype(np.int64) * BUCKETS + (h % np.uint64(BUCKETS)).astype(np.int64))
+    pairs = np.unique(_pair(row, h))
     full = np.diff(raw.offsets) > 0
-    row, bucket = pairs // BUCKETS, pairs % BUCKETS
+    row, feature = pairs >> 40, pairs & _FEATURE
     keep = full[row]
-    return row[keep], bucket[keep]
+    return row[keep], feature[keep]
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j in tx.slices(batch.column("text"), _WINDOW):
             part = batch.slice(i, j - i)
-            row, bucket = _features(part.column("text"))
+            row, feature = _features(part.column("text"))
             label = part.column("label").to_numpy().astype(np.int64)[row]
-            pairs, n = np.unique(bucket * 2 + label, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs // 2, pa.int32()), pa.array(pairs % 2, pa.int32()), pa.array(n, pa.int64())], names=["bucket", "label", "n"])
+            pairs, n = np.unique(feature * 2 + label, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs // 2), pa.array(pairs % 2, pa.int32()), pa.array(n, pa.int64())], names=["feature", "label", "n"])
+
+
+def _places(told: np.ndarray, feature: np.ndarray) -> np.ndarray:
+    """The place of each feature in the sorted ``told``, or -1."""
+    if not len(told):
+        return np.full(len(feature), -1)
+    at = np.minimum(np.searchsorted(told, feature), len(told) - 1)
+    return np.where(told[at] == feature, at, -1)
 
 
-def _told_features(shared):
+def _told_features(told: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = shared.value
         for batch in batches:
             for i, j in tx.slices(batch.column("text"), _WINDOW):
                 part = batch.slice(i, j - i)
-                row, bucket = _features(part.column("text"))
-                told = place[bucket] >= 0
-                counts = np.bincount(row[told], minlength=len(part))
+                row, feature = _features(part.column("text"))
+                place = _places(told, feature)
+                counts = np.bincount(row[place >= 0], minlength=len(part))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("label"), tx.list_array(place[bucket[told]].astype(np.int32), counts, pa.int32())], names=["label", "features"]
+                    [part.column("label"), tx.list_array(place[place >= 0].astype(np.int32), counts, pa.int32())], names=["label", "features"]
                 )
 
     return run
@@ -127,35 +141,49 @@ def _descend(owner: np.ndarray, feature: np.ndarray, label: np.ndarray, k: int)
     return w[:k], float(w[k])
 
 
-def fit_weights(labelled: DataFrame) -> tuple[np.ndarray, float]:
-    """Weight of each bucket, and the constant, of the log likelihood ratio; rows are ``(text, label)``."""
+@dataclass
+class Evidence:
+    """The log likelihood ratio: ``constant`` and the ``weights`` of the sorted ``told`` features (MOST_FEATURES at most)."""
+
+    told: np.ndarray
+    weights: np.ndarray
+    constant: float
+
+
+def fit_weights(labelled: DataFrame) -> Evidence:
+    """Fitted on rows of ``(text, label)``."""
     rows = labelled.where("text IS NOT NULL AND label IN (0, 1)")
     share = FIT_ROWS / max(rows.count(), 1)
     draw = F.shiftrightunsigned(F.xxhash64("text", F.lit(7)), 11) / float(1 << 53)
     drawn = save((rows.where(draw < share) if share < 1 else rows).select("text", F.col("label").cast("int").alias("label")), "drawn")
     sizes = dict(drawn.groupBy("label").count().collect())
-    weights = np.zeros(BUCKETS, np.float64)
     if not sizes.get(0) or not sizes.get(1):
-        return weights, 0.0
-    counts = drawn.mapInArrow(_feature_counts, "bucket int, label int, n long").groupBy("bucket", "label").agg(F.sum("n").alias("n")).toArrow()
-    n = np.zeros((2, BUCKETS))  # at most 2 * BUCKETS rows
-    n[counts.column("label").to_numpy(), counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
-    rate = (n + 0.5) / np.array([[sizes[0] + 1.0], [sizes[1] + 1.0]])
-    pool = (n.sum(axis=0) + 0.5) / (sizes[0] + sizes[1] + 1.0)
-    error = np.sqrt(pool * (1 - np.minimum(pool, 0.999)) * (1 / sizes[0] + 1 / sizes[1]))
-    sigmas = np.where(n.sum(axis=0) >= LEAST_ROWS, np.abs(rate[1] - rate[0]) / error, 0.0)
-    told = np.argsort(-sigmas, kind="stable")[:MOST_FEATURES]
-    told = told[sigmas[told] > SIGMAS]
-    place = np.full(BUCKETS, -1, np.int64)
-    place[told] = np.arange(len(told))
-    shared = labelled.sparkSession.sparkContext.broadcast(place)
-    sample = drawn.mapInArrow(_told_features(shared), "label int, features array<int>").toArrow().combine_chunks()  # about FIT_ROWS rows
+        return Evidence(np.zeros(0, np.int64), np.zeros(0), 0.0)
+    n0, n1 = float(sizes[0]), float(sizes[1])
+    counts = (
+        drawn.mapInArrow(_feature_counts, "feature long, label int, n long")
+        .groupBy("feature")
+        .agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("b"))
+        .where(F.col("a") + F.col("b") >= LEAST_ROWS)
+    )
+    pool = (F.col("a") + F.col("b") + 0.5) / (n0 + n1 + 1.0)
+    error = F.sqrt(pool * (1 - F.least(pool, F.lit(0.999))) * (1 / n0 + 1 / n1))
+    sigmas = F.abs((F.col("b") + 0.5) / (n1 + 1.0) - (F.col("a") + 0.5) / (n0 + 1.0)) / error
+    best = counts.select("feature", sigmas.alias("sigmas")).where(F.col("sigmas") > SIGMAS).orderBy(F.desc("sigmas"), "feature").limit(MOST_FEATURES)
+    told = np.sort(np.array([r.feature for r in best.collect()], dtype=np.int64))
+    sample = drawn.mapInArrow(_told_features(told), "label int, features array<int>").toArrow().combine_chunks()  # about FIT_ROWS rows
     features = sample.column("features").combine_chunks()
     label = sample.column("label").to_numpy().astype(float)
     owner = np.repeat(np.arange(len(label)), np.diff(features.offsets.to_numpy()))
     flat = features.values.to_numpy()[features.offsets[0].as_py() :]
-    weights[told], constant = _descend(owner, flat, label, len(told))
-    return weights, constant - float(np.log((sizes[1] + 1) / (sizes[0] + 1)))
+    draws = np.random.default_rng(len(flat))
+    owners, flats = [owner], [flat]
+    for copy in range(1, THINNED + 1):
+        stays = draws.random(len(flat)) < STAYS
+        owners.append(owner[stays] + copy * len(label))
+        flats.append(flat[stays])
+    weights, constant = _descend(np.concatenate(owners), np.concatenate(flats), np.tile(label, THINNED + 1), len(told))
+    return Evidence(told, weights, constant - float(np.log((n1 + 1) / (n0 + 1))))
 
 
 def _evidence(shared):
@@ -164,12 +192,14 @@ def _evidence(shared):
         for batch in batches:
             for i, j in tx.slices(batch.column("text"), _WINDOW):
                 part = batch.slice(i, j - i)
-                row, bucket = _features(part.column("text"))
+                row, feature = _features(part.column("text"))
                 some = np.bincount(row, minlength=len(part)) > 0
-                sums = [
-                    np.where(some, np.clip(c + np.bincount(row, weights=t[bucket], minlength=len(part)), -MOST_EVIDENCE, MOST_EVIDENCE), 0.0)
-                    for t, c in tables
-                ]
+                sums = []
+                for t in tables:
+                    place = _places(t.told, feature)
+                    got = place >= 0
+                    total = t.constant + np.bincount(row[got], weights=t.weights[place[got]], minlength=len(part))
+                    sums.append(np.where(some, np.clip(total, -MOST_EVIDENCE, MOST_EVIDENCE), 0.0))
                 names = [c for c in part.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in names), *(pa.array(s, pa.float64()) for s in sums)], names=[*names, *(f"e{k}" for k in range(len(sums)))]
@@ -199,15 +229,15 @@ def _strength(sites: DataFrame, total: str, n: str, rate: float) -> float:
     return float(min(MOST_STRENGTH, max(LEAST_STRENGTH, rate * (1 - rate) / spread - 1)))
 
 
-def classify(rows: DataFrame, weights: list[tuple[np.ndarray, float]], rates: list[float], keys: list[str]) -> DataFrame:
+def classify(rows: DataFrame, evidence: list[Evidence], rates: list[float], keys: list[str]) -> DataFrame:
     """``keys`` with ``p_document``, ``p_host``, ``p_path`` and ``posterior``, each an array over the labels.
 
     ``rows`` has ``text``, ``host`` and ``path``; ``rates`` are the labels' shares.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(weights)  # BUCKETS floats for each label
+    shared = rows.sparkSession.sparkContext.broadcast(evidence)  # MOST_FEATURES numbers at most for each label
     named = rows.select(*keys, F.coalesce("host", F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema if f.name != "text")
-    kinds = range(len(weights))
+    kinds = range(len(evidence))
     read = save(named.mapInArrow(_evidence(shared), schema + "".join(f", e{k} double" for k in kinds)), "evidence")
     read = read.withColumns({f"d{k}": _sigmoid(F.col(f"e{k}") + float(np.log(rates[k] / (1 - rates[k])))) for k in kinds})
     paths = save(read.groupBy("host", "path").agg(F.count("*").alias("path_n"), *(F.sum(f"d{k}").alias(f"path_{k}") for k in kinds)), "paths")
@@ -248,13 +278,13 @@ def classify_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     share = min(1.0, 1.5 * FIT_ROWS / max(known.count(), 1))  # no more texts are shuffled than the fit needs
     known = save(known.where(F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(3)), 11) / float(1 << 53) < share), "labels")
     labelled = save(own.join(known, "doc_id").select("text", *LABELS), "labelled")
-    weights, rates = [], []
+    evidence, rates = [], []
     for c in LABELS:
         rows = labelled.select("text", F.col(c).alias("label"))
-        weights.append(fit_weights(rows))
+        evidence.append(fit_weights(rows))
         n, ones = rows.where("label IN (0, 1)").agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
         rates.append((ones + 1) / (n + 2))
-    found = classify(own, weights, rates, ["doc_id"])
+    found = classify(own, evidence, rates, ["doc_id"])
     quality, toxic = F.col("posterior")[0], F.col("posterior")[1]
     return found.select(
         "doc_id",
