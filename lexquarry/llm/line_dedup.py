@@ -168,7 +168,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     among = save(rows.join(firsts, "chunk").select("key", "line", "chunk", (place == F.col("low")).alias("first")).distinct(), "among")
     # lines wanted of each document: at most its own chunks
     wanted = among.groupBy("key").agg(F.collect_set("line").alias("lines"))
-    found = _keyed(docs).join(wanted, "key").select("key", "doc_id", "text", "lines").mapInArrow(_chunk_bytes, "key long, doc_id long, line int, chunk long, bytes binary")
+    # by sorting on the key at every size: the wanted lines have no bound for a broadcast
+    found = _keyed(docs).hint("merge").join(wanted, "key").select("key", "doc_id", "text", "lines").mapInArrow(_chunk_bytes, "key long, doc_id long, line int, chunk long, bytes binary")
     found = save(found.dropDuplicates(["key", "line"]), "bytes")
     flagged = found.join(among.select("key", "line", "first"), ["key", "line"])
     first = flagged.where("first").select("chunk", F.col("bytes").alias("first_bytes"))
@@ -178,4 +179,4 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_removed`` and the ``text`` that is left."""
     gone = save(repeated_chunks(docs).groupBy("key").agg(F.collect_set("line").alias("lines")), "gone")
-    return _keyed(docs).join(gone, "key", "left").select("doc_id", "text", "lines").mapInArrow(_without, "doc_id long, n_lines long, n_removed long, text string")
+    return _keyed(docs).hint("merge").join(gone, "key", "left").select("doc_id", "text", "lines").mapInArrow(_without, "doc_id long, n_lines long, n_removed long, text string")
