@@ -49,3 +49,22 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         raise RuntimeError("connected_components did not settle")
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return leaves.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def shared_key_edges(memberships: DataFrame, node: str, key: str) -> DataFrame:
+    """``src, dst, weight``: pairs of nodes (src < dst) by the number of keys they share."""
+    a = memberships.select(F.col(node).alias("src"), key).distinct()
+    b = a.select(F.col("src").alias("dst"), key)
+    return a.join(b, key).where("src < dst").groupBy("src", "dst").agg(F.count("*").alias("weight"))
+
+
+def neighbours(edges: DataFrame) -> DataFrame:
+    """``node, n_edges, weight, heaviest`` from both ends of every edge."""
+    both = edges.select(F.col("src").alias("node"), F.col("dst").alias("other"), "weight").unionAll(edges.select(F.col("dst").alias("node"), F.col("src").alias("other"), "weight"))
+    return both.groupBy("node").agg(F.count("*").alias("n_edges"), F.sum("weight").alias("total_weight"), F.min_by("other", F.struct(-F.col("weight"), "other")).alias("heaviest"))
+
+
+def traverse(frontier: DataFrame, edges: DataFrame) -> DataFrame:
+    """One hop: ``start, node, hops`` of the frontier to the least number of hops of each new node."""
+    step = frontier.join(edges.select(F.col("src").alias("node"), F.col("dst").alias("next")), "node").select("start", F.col("next").alias("node"), (F.col("hops") + 1).alias("hops"))
+    return frontier.unionByName(step).groupBy("start", "node").agg(F.min("hops").alias("hops"))
