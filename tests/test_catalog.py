@@ -1,13 +1,14 @@
 """Every query with an oracle gives the rows of its SQL."""
 
 import math
+import os
 
 import duckdb
 import pytest
 
 from lexquarry.plans.catalog import ORACLES, QUERIES
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
