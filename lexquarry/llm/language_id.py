@@ -120,10 +120,18 @@ def _added(*arrays: Column) -> Column:
     return first
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _normalised(scores: Column) -> Column:
     """Posteriors from log scores."""
-    powers = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
-    return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+
+    def shares(powers: Column) -> Column:
+        return _let(F.aggregate(powers, F.lit(0.0), lambda a, b: a + b), lambda total: F.transform(powers, lambda x: x / total))
+
+    return _let(scores, lambda s: _let(F.array_max(s), lambda most: _let(F.transform(s, lambda x: F.exp(x - most)), shares)))
 
 
 def _sums(k: int, source: str = "soft") -> Column:
@@ -160,8 +168,11 @@ def identify(rows: DataFrame, profiles: Profiles, keys: list[str], text: str, de
     share_col = F.array(*(F.lit(float(x)) for x in share))
 
     def pooled(n: Column, prior: Column) -> Column:
-        size = F.aggregate(n, F.lit(0.0), lambda a, b: a + b)
-        return F.zip_with(n, prior, lambda a, p: (F.greatest(a, F.lit(0.0)) + STRENGTH * p) / (size + STRENGTH))
+        def shares(counts: Column) -> Column:
+            size = F.aggregate(counts, F.lit(0.0), lambda a, b: a + b)
+            return _let(size, lambda whole: F.zip_with(counts, prior, lambda a, p: (F.greatest(a, F.lit(0.0)) + STRENGTH * p) / (whole + STRENGTH)))
+
+        return _let(n, shares)
 
     by_suffix = by_suffix.withColumn("suffix_p", pooled(F.col("suffix_n"), share_col))
     # P(value | language): smoothed counts of each value, among those of the language
