@@ -66,5 +66,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+#: Words, then all windows of the sizes that items need, joined by their words.
+_OP4 = r"""
+WITH lowered AS (
+  SELECT 'd' AS side, doc_id::VARCHAR AS id, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+  UNION ALL SELECT 'b', item_id::VARCHAR, NULL, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+words AS (SELECT side, id, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+sizes AS (SELECT DISTINCT least(len(w), 13) AS k FROM words WHERE side = 'b' AND len(w) > 0),
+items AS (SELECT DISTINCT id, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM (
+  SELECT id, w, least(len(w), 13) AS k, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM words WHERE side = 'b' AND len(w) > 0)),
+windows AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS win FROM (
+  SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, sizes WHERE side = 'd' AND len(w) >= k)),
+hits AS (SELECT doc_id, i, windows.k, items.id FROM windows JOIN items ON windows.win = items.win AND windows.k = items.k),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, id FROM hits) GROUP BY doc_id)
+SELECT words.doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, (coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(w)) AS contaminated
+FROM words LEFT JOIN covered ON words.doc_id = covered.doc_id LEFT JOIN named ON words.doc_id = named.doc_id WHERE side = 'd'"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": _OP4}
