@@ -41,21 +41,25 @@ def relevance_buckets(df: DataFrame, score: str, tie: str, k: int = 20) -> DataF
     return top.withColumn("rank", rank.cast("long")).withColumn("bucket", bucket)
 
 
-def stride_sample(df: DataFrame, group: str, order: str, target: int) -> DataFrame:
-    """``target`` rows of each group at even strides of its order.
+def numbered(df: DataFrame, group: str, *order: Column) -> DataFrame:
+    """``df`` with each row's ``rank`` in its group's order and the group's size ``n``.
 
     Ranks come from sorting ranges of the order and adding up the ranges' sizes, so no task holds a group.
     """
     spans = 256
-    ranged = df.repartitionByRange(spans, group, order).withColumn("span", F.spark_partition_id())
-    within = Window.partitionBy("span", group).orderBy(order)
-    numbered = ranged.withColumn("at", F.row_number().over(within))
+    ranged = df.repartitionByRange(spans, F.col(group), *order).withColumn("span", F.spark_partition_id())
+    rows = ranged.withColumn("at", F.row_number().over(Window.partitionBy("span", group).orderBy(*order)))
     sizes = ranged.groupBy(group, "span").agg(F.count("*").alias("size"))
     before = Window.partitionBy(group).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(group, "span", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"), F.sum("size").over(Window.partitionBy(group)).alias("n"))
-    placed = numbered.join(starts, [group, "span"]).withColumn("rank", F.col("start") + F.col("at"))
+    return rows.join(starts, [group, "span"]).select(*df.columns, (F.col("start") + F.col("at")).alias("rank"), "n")
+
+
+def stride_sample(df: DataFrame, group: str, order: str, target: int) -> DataFrame:
+    """``target`` rows of each group at even strides of its order."""
     step = F.greatest(F.lit(1), F.floor(F.col("n") / target))
-    return placed.where(((F.col("rank") - 1) % step == 0) & ((F.col("rank") - 1) / step < target)).select(*df.columns, "rank")
+    placed = numbered(df, group, F.col(order))
+    return placed.where(((F.col("rank") - 1) % step == 0) & ((F.col("rank") - 1) / step < target)).drop("n")
 
 
 def budget_pick(df: DataFrame, group: str, order: str, cost: str, budget: int) -> DataFrame:
