@@ -44,9 +44,10 @@ def queue_manifest_full_outer(t: Tables) -> DataFrame:
     return joins.merged(queue, manifest, "record_id")
 
 
-@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def orphan_anti(t: Tables) -> DataFrame:
-    return t.customer.join(t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_mktsegment")
+    large = t.orders.where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
+    return t.customer.join(large, "c_custkey", "left_anti").select("c_custkey", "c_mktsegment")
 
 
 @query("SELECT user_id, count(*)::BIGINT AS n FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') GROUP BY user_id")

@@ -191,12 +191,12 @@ def tag_confidence(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH n AS (SELECT doc_id, source, {_NORM} AS norm FROM documents)
-SELECT source, min(CASE WHEN {_has('licensed', 'norm')} THEN doc_id END) AS mandatory, min(CASE WHEN {_has('password', 'norm')} THEN doc_id END) AS prohibited
+SELECT source, min(CASE WHEN {_has('licensed', 'norm')} THEN doc_id END) AS mandatory, min(CASE WHEN {_has('idiot', 'norm')} THEN doc_id END) AS prohibited
 FROM n GROUP BY source HAVING mandatory IS NOT NULL AND prohibited IS NOT NULL""")
 def conflict_groups(t: Tables) -> DataFrame:
     n = t.documents.select("doc_id", "source", text.normalize("text").alias("norm"))
     first = lambda w: F.min(F.when(text.contains_term(F.col("norm"), w), F.col("doc_id")))
-    return n.groupBy("source").agg(first("licensed").alias("mandatory"), first("password").alias("prohibited")).where("mandatory IS NOT NULL AND prohibited IS NOT NULL")
+    return n.groupBy("source").agg(first("licensed").alias("mandatory"), first("idiot").alias("prohibited")).where("mandatory IS NOT NULL AND prohibited IS NOT NULL")
 
 
 @query(f"""

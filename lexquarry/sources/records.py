@@ -45,7 +45,7 @@ def read_snapshot(spark: SparkSession, path: str, aliases: dict[str, list[str]])
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     """Per file: frontmatter as a map, first heading, body and digest."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("content"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("content"))
     head = F.regexp_extract("content", r"(?s)\A---\n(.*?)\n---", 1)
     pairs = F.transform(F.filter(F.split(head, "\n"), lambda x: x.contains(":")), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), F.trim(F.regexp_replace(x, r"^[^:]*:", ""), F.lit(" \"'")).alias("v")))
     return files.select(
