@@ -4,10 +4,10 @@ from lexquarry.llm import quality_classifier as qc
 
 
 def test_held_out_accuracy(spark):
-    """About one label in fifty is drawn at random, so agreement with the labels has a ceiling of about 0.975.
+    """Held-out labels, over all languages; and, more strictly, toxic texts with telling English words.
 
-    Toxic documents that can be told are those with a word of many toxic training
-    documents and of hardly any other; these are held against the labels exactly.
+    Telling words are those of many toxic training texts and of hardly any other.
+    Some labels follow from nothing in the text, so agreement cannot be complete.
     """
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
@@ -19,6 +19,8 @@ def test_held_out_accuracy(spark):
     sure = [r for r in rows if r.is_toxic and r.hits]
     assert len(sure) > 100 and sum(r.toxic for r in sure) >= 0.98 * len(sure)
     print([sum(x) for x in zip(*((bool(r.is_toxic), r.toxic, bool(r.is_toxic and r.toxic), not r.is_toxic and r.toxic) for r in rows))])
+    toxic = [r for r in rows if r.is_toxic]
+    assert sum(r.toxic for r in toxic) >= 0.9 * len(toxic)
     assert sum(r.toxic and not r.is_toxic for r in rows) <= 0.01 * len(rows)
     assert sum(r.toxic == (r.is_toxic == 1) for r in rows) >= 0.965 * len(rows)
     assert sum((r.quality >= 0.5) == (r.is_good == 1) for r in rows) >= 0.95 * len(rows)
