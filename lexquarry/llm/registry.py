@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexquarry.llm.decontaminate import contamination
 from lexquarry.llm.jaccard_join import similar_documents
 from lexquarry.llm.language_id import identify_corpus
-from lexquarry.llm.line_dedup import remove_repeated_lines
+from lexquarry.llm.line_dedup import remove_repeated_passages
 from lexquarry.llm.lm_score import score_documents
 from lexquarry.llm.mixing import mixture
 from lexquarry.llm.quality_classifier import classify_documents
@@ -59,7 +59,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_lines(_table(spark, sf_dir, "documents"))
+    return remove_repeated_passages(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -75,3 +75,53 @@ def test_equal_hashes_with_other_bytes_stay(spark, monkeypatch):
 
 def test_empty(spark):
     assert ld.remove_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def brute_passages(docs):
+    """Lines of runs of PASSAGE_WORDS words or more (between lines with words) that an earlier text holds, by comparing all pairs of runs."""
+    lines = {d: t.split("\n") for d, t in docs}
+    size = {d: [len(x.split()) for x in ls] for d, ls in lines.items()}
+    out = {}
+    for d, ls in lines.items():
+        gone = set()
+        for e in (e for e in lines if e < d):
+            for i in range(len(ls)):
+                for j in range(len(lines[e])):
+                    k = 0
+                    while i + k < len(ls) and j + k < len(lines[e]) and ls[i + k] == lines[e][j + k]:
+                        k += 1
+                    full = [x for x in range(i, i + k) if size[d][x]]
+                    if full and sum(size[d][x] for x in full) >= ld.PASSAGE_WORDS:
+                        gone |= set(range(full[0], full[-1] + 1))
+        out[d] = gone
+    return out
+
+
+def test_every_repeated_passage_goes_whole(spark):
+    rng = random.Random(21)
+    docs = []
+    for n in range(2, 12):  # passages of n lines, each in three texts between lines of their own
+        for copy in range(3):
+            passage = [f"passage {n} line {i} " + "word " * (47 // n + 1) + f"end{i}" + ("\n" if i % 4 == 3 else "") for i in range(n)]
+            own = [f"own {n} {copy} {k} {rng.random()}" for k in range(8)]
+            at = rng.randrange(9)
+            docs.append((100 * n + copy, "\n".join(own[:at] + passage + own[at:])))
+    docs += [(5000, "short shared\nand few words\nhere it ends"), (5001, "x\nshort shared"), (5002, "\n" * 3000 + "a b c"), (5003, "again and again\n" * 90)]
+    want = brute_passages(docs)
+    got = {r.doc_id: r for r in ld.remove_repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    for d, text in docs[:-4]:
+        kept = [x for i, x in enumerate(text.split("\n")) if i not in want[d]]
+        assert got[d].text.split("\n") == kept
+    assert sum(r.n_removed > 0 for r in got.values() if r.doc_id < 5000) == 20
+    assert [got[d].text for d in (5000, 5001)] == [docs[-4][1], docs[-3][1]]
+    assert set(got[5003].text.split("\n")) == {"again and again", ""}
+
+
+def test_cover_holds_all_places():
+    rng = random.Random(2)
+    for _ in range(300):
+        spans = [(rng.randrange(40), rng.randrange(1, 9)) for _ in range(rng.randrange(1, 15))]
+        own = [spans[i] for i in ld.cover(spans)]
+        places = [x for a, n in own for x in range(a, a + n)]
+        assert set(places) == {x for a, n in spans for x in range(a, a + n)}
+        assert all(places.count(x) <= 2 for x in places)
