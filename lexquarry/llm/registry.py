@@ -27,7 +27,7 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(_table(spark, sf_dir, "documents")).drop("key")
+    return similar_documents(_table(spark, sf_dir, "documents")).drop("key", "component")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
