@@ -28,7 +28,7 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 def diversified(df: DataFrame, group: str, score: str, tie: str, k: int) -> DataFrame:
     """Top ``k`` rows, each group's best row going first."""
     best = df.groupBy(group).agg(F.max_by(tie, F.struct(F.col(score), -F.col(tie))).alias("best"))
-    marked = df.join(F.broadcast(top_k(best, 1000, F.col(group))), group)  # 1000 groups at most
+    marked = df.join(best, group)
     return top_k(marked.withColumn("leads", (F.col(tie) == F.col("best")).cast("int")).drop("best"), k, F.desc("leads"), F.desc(score), F.col(tie))
 
 

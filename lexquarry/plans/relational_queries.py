@@ -112,8 +112,8 @@ def range_join(t: Tables) -> DataFrame:
 @query("SELECT n_name, c_mktsegment, 'not_started' AS status FROM nation, (SELECT DISTINCT c_mktsegment FROM customer)")
 def matrix_cross_join(t: Tables) -> DataFrame:
     """The status matrix of two small dimensions (nations and segments)."""
-    segments = F.array(*(F.lit(r[0]) for r in t.customer.select("c_mktsegment").distinct().orderBy("c_mktsegment").limit(1000).collect()))  # a code list
-    return t.nation.select("n_name", F.explode(segments).alias("c_mktsegment"), F.lit("not_started").alias("status"))
+    segments = t.customer.select("c_mktsegment").distinct()
+    return t.nation.select("n_name").crossJoin(segments).withColumn("status", F.lit("not_started"))
 
 
 # ---- reports ---------------------------------------------------------------

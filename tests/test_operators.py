@@ -1,9 +1,12 @@
 """Operators on small fixtures: nulls, ties, repeats, and the folds that SQL does not express."""
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from lexquarry.functions import chunking, text
 from lexquarry.operators import graph, joins, ranking
+from lexquarry.plans.relational_queries import matrix_cross_join
 
 
 def test_chunks_pack_lines_and_lose_nothing(spark):
@@ -28,6 +31,17 @@ def test_ranks_over_ranges_equal_plain_ranks(spark):
     assert all(r["rank"] == (r.k + 1 if r.g == "a" else 1) and r["n"] == (500 if r.g == "a" else 1) for r in got) and len(got) == 501
 
 
+def test_more_than_a_thousand_groups_all_lead(spark):
+    rows = spark.range(1500).selectExpr("format_string('g%04d', id) AS g", "id AS score", "id AS k")
+    got = ranking.diversified(rows, "g", "score", "k", 3).collect()
+    assert [r.k for r in got] == [1499, 1498, 1497]
+
+
+def test_matrix_has_more_than_a_thousand_segments(spark):
+    tables = SimpleNamespace(customer=spark.range(1200).selectExpr("format_string('s%04d', id) AS c_mktsegment"), nation=spark.createDataFrame([("A",), ("B",)], "n_name string"))
+    assert getattr(matrix_cross_join, "__wrapped__", matrix_cross_join)(tables).count() == 2400
+
+
 def test_as_of_takes_the_last_row_at_or_before(spark):
     left = spark.createDataFrame([(1, 1, 10), (2, 1, 5), (3, 2, 1), (4, None, 3)], "id long, k long, at long")
     right = spark.createDataFrame([(1, 5, "x"), (1, 10, "y"), (1, 11, "z"), (2, 2, "w")], "k long, at long, v string")
