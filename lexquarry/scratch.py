@@ -2,8 +2,9 @@
 
 Intermediate results that are read more than once are written as Parquet under
 ``spark.checkpoint.dir`` and read back, so that a lost executor costs a re-read
-and not a re-computation.  Where the setting is absent (unit tests, notebooks)
-a folder of the driver machine is chosen and set once for the session.
+and not a re-computation.  Where the setting is absent, a session on one machine
+(tests, notebooks) gets a folder of that machine; on a cluster it is an error, as
+every executor would write to a disk of its own.
 """
 
 from __future__ import annotations
@@ -11,41 +12,80 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+#: Bytes of an Arrow batch on its way to a Python worker; rows alone (10,000) bound no memory where texts are long.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _local: dict[str, str] = {}
-_written: list[tuple[SparkSession, str]] = []
+_written: dict[str, SparkSession] = {}
+_path_of: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session, with no trailing slash."""
     found = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING, None)
     if not found:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise RuntimeError(f"set {_SETTING} to a folder that all executors share (master is {master})")
         app = spark.sparkContext.applicationId
         found = _local.setdefault(app, "file://" + tempfile.mkdtemp(prefix="lexquarry-"))
     return found.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, Arrow batches hold BATCH_BYTES or so (one row at least)."""
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
 def save(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lexquarry-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
+    _written[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    _path_of[out] = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of :func:`save` that nothing will read again; others are left alone."""
+    for df in tables:
+        path = _path_of.pop(df, None)
+        if path:
+            _delete(path)
 
 
 def clear() -> None:
     """Delete every table that :func:`save` has written in this process."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session has ended; the folder goes with the application
-            return
+    for path in list(_written):
+        _delete(path)
+
+
+def _delete(path: str) -> None:
+    spark = _written.pop(path, None)
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session has ended; the folder goes with the application
+        return
 
 
 atexit.register(clear)
