@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _LONG_WORD = 64
 
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -90,6 +90,10 @@ def _doc_prints(bits: np.ndarray, sizes: list[int]):
         bit = hashes >> np.uint64(64 - BLOOM_BITS)
         return (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
+    def matching(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ok = may_match(hashes)
+        return hashes[ok], first[ok]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in tx.slices(batch.column("text")):
@@ -97,9 +101,8 @@ def _doc_prints(bits: np.ndarray, sizes: list[int]):
                 words = tx.scan(part.column("text"), tx.ALNUM)
                 hashes, first = tx.grams(words, GRAM)
                 kept = winnow(hashes, first, words.row, SPAN - GRAM + 1)
-                found = [(hashes[kept], first[kept])]
-                found += [tx.grams(words, size) for size in sizes]
-                found = [(h[ok], a[ok]) for h, a in found for ok in [may_match(h)]]
+                found = [matching(hashes[kept], first[kept])]
+                found += [matching(*tx.grams(words, size)) for size in sizes]
                 h, at = np.concatenate([h for h, _ in found]), np.concatenate([a for _, a in found])
                 order = np.argsort(at, kind="stable")
                 h, at = h[order], at[order]
