@@ -1,13 +1,16 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts c of words and word pairs are quantised as q = 1 + floor(log_b c) and the
-events (gram, 1) ... (gram, q) are put in a Bloom filter; a count is read back by
-probing (gram, 1), (gram, 2), ... until one is missing, and stands for the mean
-count of that level over the corpus.  The filter is built in segments, each by
-the task that holds the summed counts of its grams, has BITS bits in all whatever
-the input, and is broadcast.  A segment that would overflow raises the least
-count of the pairs it keeps; pairs that are not kept, like unseen ones, get the
-word estimate by smoothing.
+Counts c of words and word pairs, single ones included, are quantised as
+q = 1 + floor(log_b c) and the events (gram, 1) ... (gram, q) are put in a Bloom
+filter; a count is read back by probing (gram, 1), (gram, 2), ... until one is
+missing, and stands for the mean count of that level over the corpus.
+
+Grams are dealt by hash to slots, one for about SLOT_TOKENS training tokens, and
+each slot's bits are BITS_PER_EVENT for each of its events, so the filter grows
+with what was counted, at an even chance of false hits, and depends on the data
+alone.  A filter of up to MODEL_BYTES is broadcast.  A larger one stays in its
+slots: the distinct grams of each slice of texts go to the slots, are probed
+there, and their levels come back to the slice.  Both ways probe the same bits.
 
 The model is a bigram with Dirichlet smoothing toward the word distribution:
 P(w | h) = (c(h, w) + K P(w)) / (c(h) + K) and P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)).
@@ -17,8 +20,9 @@ The base score uses exact counts: those of the HOT most frequent words travel as
 a bounded array, all others by a join on the word.
 
 Defined cases: a null text is empty and scores its end alone; a null doc_id is
-not held out; repeated rows are learnt from and scored each; with nothing to
-learn from N = V = 0; only id and text are read.
+not held out; repeated rows are learnt from and scored each; a text longer than a
+slice is a slice of its own; ties in the choice of the HOT words go by word hash and
+change no result; with nothing to learn from N = V = 0; only id and text are read.
 """
 
 from __future__ import annotations
@@ -34,14 +38,16 @@ from lexquarry.llm import _text as tx
 from lexquarry.scratch import save
 
 FOLDS, HELD_OUT = 5, 1
-BITS = 1 << 28
 BASE = 1.5
 PROBES = 5
-LEAST_PAIR = 2
-BITS_PER_EVENT = 9
+#: With 5 probes, some 2 % of unseen grams are taken for single ones.
+BITS_PER_EVENT = 8
+SLOT_TOKENS, LEAST_SLOTS = 1 << 17, 64
+#: The largest filter that is broadcast, held once by each worker.
+MODEL_BYTES = 128 << 20
 K = 400.0
 HOT = 1 << 19
-WINDOW = 2_000_000
+WINDOW = 1_000_000
 
 END, START = tx.mix(np.array([0xE0D, 0x57A7], dtype=np.uint64))
 _LEVELS = 64
@@ -84,24 +90,29 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _by_segment(values: np.ndarray, counts: np.ndarray, order: int, segments: int) -> pa.RecordBatch:
-    """One row for each segment, with its grams and their counts."""
-    segment = values % np.uint64(segments)
-    by = np.argsort(segment, kind="stable")
-    names, first = np.unique(segment[by], return_index=True)
-    sizes = np.diff(np.append(first, len(by)))
+def slots_for(tokens: int) -> int:
+    """A power of two, so that a slot gets about SLOT_TOKENS tokens of the corpus."""
+    return 1 << max(LEAST_SLOTS.bit_length() - 1, (max(tokens, 1) // SLOT_TOKENS).bit_length())
+
+
+def _in_slots(grams: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The order by slot; then, of the slots in use, names and sizes, and the grams' prints in that order."""
+    slot = grams & np.uint64(slots - 1)
+    by = np.argsort(slot, kind="stable")
+    names, first = np.unique(slot[by], return_index=True)
+    return by, names.astype(np.int32), np.diff(np.append(first, len(by))), (grams[by] >> np.uint64(32)).astype(np.uint32)
+
+
+def _by_slot(grams: np.ndarray, counts: np.ndarray, size: int, slots: int) -> pa.RecordBatch:
+    """One row for each slot, with its grams and their counts."""
+    by, names, sizes, prints = _in_slots(grams, slots)
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(names.astype(np.int32)),
-            pa.array(np.full(len(names), order, np.int32)),
-            tx.list_array(tx.signed(values[by]), sizes),
-            tx.list_array(counts[by].astype(np.int64), sizes),
-        ],
-        names=["segment", "size", "grams", "counts"],
+        [pa.array(names), pa.array(np.full(len(names), size, np.int32)), tx.list_array(prints.view(np.int32), sizes, pa.int32()), tx.list_array(counts[by].astype(np.int64), sizes)],
+        names=["slot", "size", "grams", "counts"],
     )
 
 
-def _pair_counts(segments: int):
+def _pair_counts(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -110,20 +121,19 @@ def _pair_counts(segments: int):
                 held.append(_pair(before, word))
                 size += len(word)
                 if size >= WINDOW:
-                    yield _by_segment(*np.unique(np.concatenate(held), return_counts=True), 2, segments)
+                    yield _by_slot(*np.unique(np.concatenate(held), return_counts=True), 2, slots)
                     held, size = [], 0
         if held:
-            yield _by_segment(*np.unique(np.concatenate(held), return_counts=True), 2, segments)
+            yield _by_slot(*np.unique(np.concatenate(held), return_counts=True), 2, slots)
 
     return run
 
 
-def _words_by_segment(segments: int):
+def _words_by_slot(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                words = batch.column("word").to_numpy().view(np.uint64)
-                yield _by_segment(words, batch.column("c").to_numpy(), 1, segments)
+                yield _by_slot(batch.column("word").to_numpy().view(np.uint64), batch.column("c").to_numpy(), 1, slots)
 
     return run
 
@@ -132,89 +142,91 @@ def level_of(counts: np.ndarray) -> np.ndarray:
     return np.minimum(1 + np.floor(np.log(counts) / np.log(BASE) + 1e-9).astype(np.int64), _LEVELS - 1)
 
 
-def _bit(grams: np.ndarray, level: int, bits: int, k: int) -> np.ndarray:
-    """The k-th bit of the event (gram, level) inside a segment of ``bits`` bits."""
-    a = tx.mix(grams ^ (np.uint64(level) * np.uint64(0x9E3779B9)))
-    return (a + np.uint64(k) * (tx.mix(a) | np.uint64(1))) % np.uint64(bits)
+def _bit(prints: np.ndarray, level: int, bits: np.ndarray | np.uint64, k: int) -> np.ndarray:
+    """The k-th bit of the event (gram, level) inside a slot of ``bits`` bits."""
+    a = tx.mix(prints.astype(np.uint64) ^ np.uint64(level * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+    return (a + np.uint64(k) * (tx.mix(a) | np.uint64(1))) % bits
 
 
-def _segment(grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray, bits: int) -> tuple[np.ndarray, dict]:
-    """Fill one segment; also the number of grams and sum of counts at each (size, level)."""
+def _fill(prints: np.ndarray, counts: np.ndarray, pairs: np.ndarray, per_event: int) -> tuple[np.ndarray, dict]:
+    """The bytes of one slot; also the number of grams and sum of counts at each (size, level)."""
     levels = level_of(counts)
-    keep = ~pairs | (counts >= LEAST_PAIR)
-    room = bits // BITS_PER_EVENT - int(levels[~pairs].sum())
-    if int(levels[keep & pairs].sum()) > room:
-        by_count = np.argsort(-counts[pairs], kind="stable")
-        sums = np.cumsum(levels[pairs][by_count])
-        fits = int(np.searchsorted(sums, room, "right"))
-        least = int(counts[pairs][by_count[fits]]) + 1 if fits < len(by_count) else LEAST_PAIR
-        keep = ~pairs | (counts >= max(least, LEAST_PAIR))
-    filled = np.zeros(bits, dtype=np.uint8)
-    grams, counts, levels, pairs = grams[keep], counts[keep], levels[keep], pairs[keep]
+    bits = np.uint64(-(-int(levels.sum()) * per_event // 64) * 64)
+    filled = np.zeros(int(bits), dtype=np.uint8)
     stats = {}
     for size, own in ((1, ~pairs), (2, pairs)):
         n = np.bincount(levels[own], minlength=_LEVELS)
         total = np.bincount(levels[own], weights=counts[own], minlength=_LEVELS)
         stats[size] = [(int(k), int(n[k]), int(total[k])) for k in np.flatnonzero(n)]
     level = 1
-    while len(grams):
+    while len(prints):
         for k in range(PROBES):
-            filled[_bit(grams, level, bits, k).astype(np.int64)] = 1
+            filled[_bit(prints, level, bits, k).astype(np.int64)] = 1
         level += 1
         live = levels >= level
-        grams, levels = grams[live], levels[live]
+        prints, levels = prints[live], levels[live]
     return np.packbits(filled, bitorder="little"), stats
 
 
-def _build(bits: int):
+def _slot_row(slot: int, parts: list[tuple[int, np.ndarray, np.ndarray]], per_event: int) -> pa.RecordBatch:
+    found = []
+    for size in (1, 2):
+        own = [(g, c) for k, g, c in parts if k == size]
+        if own:
+            g, inverse = np.unique(np.concatenate([g for g, _ in own]), return_inverse=True)
+            c = np.bincount(inverse, weights=np.concatenate([c for _, c in own])).astype(np.int64)
+            found.append((g, c, np.full(len(g), size == 2)))
+    packed, stats = _fill(*(np.concatenate([f[k] for f in found]) for k in range(3)), per_event)
+    flat = [(size, *x) for size, rows in stats.items() for x in rows]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([slot], pa.int32()), pa.array([packed.tobytes()], pa.binary()), *(pa.array([[f[k] for f in flat]], pa.list_(pa.int64())) for k in range(4))],
+        names=["slot", "bits", "size", "level", "n", "total"],
+    )
+
+
+def _build(per_event: int):
+    """From rows sorted by slot: one slot is held at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+        slot, parts = None, []
         for batch in batches:
-            for s, size, g, c in zip(batch.column("segment").to_pylist(), batch.column("size").to_pylist(), batch.column("grams"), batch.column("counts"), strict=True):
-                parts.setdefault(s, []).append((size, g.values.to_numpy().view(np.uint64), c.values.to_numpy()))
-        for s in sorted(parts):
-            found = []
-            for size in (1, 2):
-                own = [(g, c) for k, g, c in parts[s] if k == size]
-                if own:
-                    g, inverse = np.unique(np.concatenate([g for g, _ in own]), return_inverse=True)
-                    c = np.bincount(inverse, weights=np.concatenate([c for _, c in own])).astype(np.int64)
-                    found.append((g, c, np.full(len(g), size == 2)))
-            packed, stats = _segment(*(np.concatenate([f[k] for f in found]) for k in range(3)), bits)
-            del parts[s]
-            flat = [(size, *x) for size, rows in stats.items() for x in rows]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([s], pa.int32()),
-                    pa.array([packed.tobytes()], pa.binary()),
-                    *(pa.array([[f[k] for f in flat]], pa.list_(pa.int64())) for k in range(4)),
-                ],
-                names=["segment", "bits", "size", "level", "n", "total"],
-            )
+            for s, size, g, c in zip(batch.column("slot").to_pylist(), batch.column("size").to_pylist(), batch.column("grams"), batch.column("counts"), strict=True):
+                if parts and s != slot:
+                    yield _slot_row(slot, parts, per_event)
+                    parts = []
+                slot = s
+                parts.append((size, g.values.to_numpy().view(np.uint32), c.values.to_numpy()))
+        if parts:
+            yield _slot_row(slot, parts, per_event)
 
     return run
 
 
+def _levels(prints: np.ndarray, bits: np.ndarray, data: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Probe level after level until one is missing; ``bits`` and ``base`` (in bytes) are those of each print's slot."""
+    level = np.zeros(len(prints), np.uint8)
+    live = np.flatnonzero(bits > 0)
+    at = 1
+    while len(live) and at < _LEVELS:
+        for k in range(PROBES):
+            bit = _bit(prints[live], at, bits[live], k)
+            byte = data[base[live] + (bit >> np.uint64(3)).astype(np.int64)]
+            live = live[(byte >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        level[live] = at
+        at += 1
+    return level
+
+
 class Filter:
-    """The whole filter with its level means, as held by each worker."""
-
-    def __init__(self, segments: int, bits: int, data: np.ndarray, means: np.ndarray):
-        self.segments, self.bits, self.data, self.means = segments, bits, data, means
-
-    def counts(self, grams: np.ndarray, size: int) -> np.ndarray:
-        """Estimated counts: probe level after level until one is missing."""
-        level = np.zeros(len(grams), np.int64)
-        base = (grams % np.uint64(self.segments)).astype(np.int64) * (self.bits // 8)
-        live = np.arange(len(grams))
-        at = 1
-        while len(live) and at < _LEVELS:
-            for k in range(PROBES):
-                bit = _bit(grams[live], at, self.bits, k)
-                byte = self.data[base[live] + (bit >> np.uint64(3)).astype(np.int64)]
-                live = live[(byte >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-            level[live] = at
-            at += 1
-        return self.means[size][level]
+    """The whole filter as held by each worker: the bytes of its slots one after the other."""
+
+    def __init__(self, bits: np.ndarray, data: np.ndarray):
+        self.bits, self.data = bits, data
+        self.base = np.concatenate([[0], np.cumsum(bits)]).astype(np.int64) // 8
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        slot = (grams & np.uint64(len(self.bits) - 1)).astype(np.int64)
+        return _levels((grams >> np.uint64(32)).astype(np.uint32), self.bits[slot], self.data, self.base[slot])
 
 
 def _level_means(stats: dict[tuple[int, int], tuple[int, int]]) -> np.ndarray:
@@ -226,54 +238,133 @@ def _level_means(stats: dict[tuple[int, int], tuple[int, int]]) -> np.ndarray:
     return means
 
 
-def _score(model, hot, total: int, distinct: int):
+class _Slice:
+    """Tokens of some texts, and the distinct grams to look up: words, then the start, then pairs."""
+
+    def __init__(self, column: pa.Array):
+        self.word, before, self.counts = _tokens(column)
+        self.kinds, self.inverse = np.unique(self.word, return_inverse=True)
+        self.twos, self.back = np.unique(_pair(before, self.word), return_inverse=True)
+        self.grams = np.concatenate([self.kinds, [START], self.twos])
+
+
+def _scored(part: pa.RecordBatch, x: _Slice, levels: np.ndarray, means: np.ndarray, hot: tuple[np.ndarray, np.ndarray], floor: float) -> pa.RecordBatch:
+    rows, n = len(part), len(x.kinds)
+    row = np.repeat(np.arange(rows), x.counts)
+    hot_words, hot_counts = hot
+    at = np.minimum(np.searchsorted(hot_words, x.kinds), max(len(hot_words) - 1, 0))
+    known = hot_words[at] == x.kinds if len(hot_words) else np.zeros(n, dtype=bool)
+    log = np.where(known, np.log10((hot_counts[at] if len(hot_words) else np.zeros(n)) + 0.5), 0.0)
+    rare = np.flatnonzero(~known[x.inverse])
+    pairs, times = np.unique(row[rare] * n + x.inverse[rare], return_counts=True)
+    owner, kind = np.divmod(pairs, max(n, 1))
+
+    words, start, twos = means[1][levels[:n]], means[1][levels[n]], means[2][levels[n + 1 :]]
+    history = np.empty(len(x.word))
+    history[1:] = words[x.inverse][:-1]
+    history[np.cumsum(x.counts) - x.counts] = start
+    pair = np.minimum(twos[x.back], np.minimum(history, words[x.inverse]))
+    p = (pair + K * ((words + 0.5) / floor)[x.inverse]) / (history + K)
+    return pa.RecordBatch.from_arrays(
+        [
+            part.column("row"),
+            part.column("doc_id"),
+            part.column("held_out"),
+            pa.array(x.counts, pa.int64()),
+            pa.array(np.bincount(row, weights=known[x.inverse], minlength=rows).astype(np.int64)),
+            pa.array(np.bincount(row, weights=log[x.inverse], minlength=rows)),
+            pa.array(np.bincount(row, weights=np.log10(p), minlength=rows)),
+            tx.list_array(tx.signed(x.kinds[kind]), np.bincount(owner, minlength=rows)),
+            tx.list_array(times.astype(np.int32), np.bincount(owner, minlength=rows), pa.int32()),
+        ],
+        names=["row", "doc_id", "held_out", "n_tokens", "hot_known", "hot_log", "score", "rare", "times"],
+    )
+
+
+_SCORED = "row long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_log double, score double, rare array<long>, times array<int>"
+
+
+def _score_with(model, means: np.ndarray, hot, floor: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_, (hot_words, hot_counts) = model.value, hot.value
-        floor = total + 0.5 * (distinct + 1)
         for batch in batches:
             for i, j in tx.slices(batch.column("text")):
                 part = batch.slice(i, j - i)
-                word, before, counts = _tokens(part.column("text"))
-                row = np.repeat(np.arange(len(part)), counts)
-                kinds, inverse = np.unique(word, return_inverse=True)
-
-                at = np.minimum(np.searchsorted(hot_words, kinds), max(len(hot_words) - 1, 0))
-                known = hot_words[at] == kinds if len(hot_words) else np.zeros(len(kinds), dtype=bool)
-                log = np.where(known, np.log10((hot_counts[at] if len(hot_words) else np.zeros(len(kinds))) + 0.5), 0.0)
-                hot_log = np.bincount(row, weights=log[inverse], minlength=len(part))
-                hot_known = np.bincount(row, weights=known[inverse], minlength=len(part)).astype(np.int64)
-                rare = np.flatnonzero(~known[inverse])
-                pairs, times = np.unique(row[rare] * len(kinds) + inverse[rare], return_counts=True)
-                owner, kind = np.divmod(pairs, len(kinds))
-                per_row = np.bincount(owner, minlength=len(part))
-
-                words = filter_.counts(kinds, 1)
-                single = (words + 0.5) / floor
-                start = filter_.counts(np.array([START]), 1)[0]
-                history = np.empty(len(word))
-                history[1:] = words[inverse][:-1]
-                history[np.cumsum(counts) - counts] = start
-                twos, back = np.unique(_pair(before, word), return_inverse=True)
-                pair = np.minimum(filter_.counts(twos, 2)[back], np.minimum(history, words[inverse]))
-                p = (pair + K * single[inverse]) / (history + K)
+                x = _Slice(part.column("text"))
+                yield _scored(part, x, model.value.levels(x.grams), means, hot.value, floor)
+
+    return run
+
+
+_TEXTS = ("row", "doc_id", "held_out", "text")
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts packed into rows of one slice each."""
+    for batch in batches:
+        for i, j in tx.slices(batch.column("text")):
+            part = batch.slice(i, j - i)
+            cuts = pa.array([0, len(part)], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(cuts, part.column(c)) for c in _TEXTS], names=list(_TEXTS))
+
+
+def _asked(slots: int):
+    """For each slice and slot, the prints to look up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, texts in zip(batch.column("slice").to_pylist(), batch.column("text"), strict=True):
+                _, names, sizes, prints = _in_slots(_Slice(texts.values).grams, slots)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("row"),
-                        part.column("doc_id"),
-                        part.column("held_out"),
-                        pa.array(counts, pa.int64()),
-                        pa.array(hot_known),
-                        pa.array(hot_log),
-                        pa.array(np.bincount(row, weights=np.log10(p), minlength=len(part))),
-                        tx.list_array(tx.signed(kinds[kind]), per_row),
-                        tx.list_array(times.astype(np.int32), per_row, pa.int32()),
-                    ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "hot_known", "hot_log", "score", "rare", "times"],
+                    [pa.array(names), pa.array(np.full(len(names), name, np.int64)), tx.list_array(prints.view(np.int32), sizes, pa.int32())], names=["slot", "slice", "prints"]
                 )
 
     return run
 
 
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by slot, the slot's bits (slice -1) before what is asked of it: levels."""
+    slot, data = None, np.zeros(0, np.uint8)
+    for batch in batches:
+        out = ([], [], [])
+        for s, name, bits, asked in zip(batch.column("slot").to_pylist(), batch.column("slice").to_pylist(), batch.column("bits"), batch.column("prints"), strict=True):
+            if s != slot:
+                slot, data = s, np.zeros(0, np.uint8)
+            if name < 0:
+                data = np.frombuffer(bits.as_buffer(), np.uint8)
+                continue
+            prints = asked.values.to_numpy().view(np.uint32)
+            levels = _levels(prints, np.full(len(prints), 8 * len(data), np.uint64), data, np.zeros(len(prints), np.int64))
+            for to, x in zip(out, (name, s, levels.tobytes()), strict=True):
+                to.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], names=["slice", "slot", "levels"])
+
+
+def _score_answered(slots: int, means: np.ndarray, hot, floor: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                part = pa.RecordBatch.from_arrays([batch.column(c)[k].values for c in _TEXTS], names=list(_TEXTS))
+                x = _Slice(part.column("text"))
+                levels = np.empty(len(x.grams), np.uint8)
+                levels[_in_slots(x.grams, slots)[0]] = np.frombuffer(b"".join(a["levels"] for a in batch.column("answers")[k].as_py()), np.uint8)
+                yield _scored(part, x, levels, means, hot.value, floor)
+
+    return run
+
+
+def _score_by_slots(texts: DataFrame, built: DataFrame, slots: int, means: np.ndarray, hot, floor: float) -> DataFrame:
+    """Scores by a filter of any size: grams go to their slots, and levels come back."""
+    listed = "row array<long>, doc_id array<long>, held_out array<boolean>, text array<string>"
+    slices = save(texts.mapInArrow(_sliced, listed).withColumn("slice", F.monotonically_increasing_id()), "slices")
+    asked = slices.select("slice", "text").mapInArrow(_asked(slots), "slot int, slice long, prints array<int>")
+    both = asked.withColumn("bits", F.lit(None).cast("binary")).unionByName(
+        built.select("slot", F.lit(-1).cast("long").alias("slice"), "bits", F.lit(None).cast("array<int>").alias("prints"))
+    )
+    levels = both.repartition("slot").sortWithinPartitions("slot", "slice").mapInArrow(_answered, "slice long, slot int, levels binary")
+    answers = levels.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("slot", "levels"))).alias("answers"))  # a byte for each gram of a slice
+    return slices.join(answers, "slice").select(*_TEXTS, "answers").mapInArrow(_score_answered(slots, means, hot, floor), _SCORED)
+
+
 def _held_out() -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
 
@@ -286,34 +377,32 @@ def score_documents(docs: DataFrame) -> DataFrame:
     vocabulary = save(learnt.mapInArrow(_word_counts, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
     total, distinct, starts = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.max(F.when(F.col("word") == int(np.array([END]).view(np.int64)[0]), F.col("c")))).first()
 
-    segments = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(512, BITS // segments // 8 * 8)
-    shape = "segment int, size int, grams array<long>, counts array<long>"
+    slots = slots_for(total)
+    shape = "slot int, size int, grams array<int>, counts array<long>"
     start = spark.createDataFrame([(int(np.array([START]).view(np.int64)[0]), int(starts or 0))], "word long, c long").where("c > 0")
-    grams = learnt.mapInArrow(_pair_counts(segments), shape).unionByName(
-        vocabulary.unionByName(start).mapInArrow(_words_by_segment(segments), shape)
-    )
-    built = save(grams.repartition("segment").mapInArrow(_build(bits), "segment int, bits binary, size array<long>, level array<long>, n array<long>, total array<long>"), "filter")
-    data = np.zeros(segments * (bits // 8), np.uint8)  # BITS / 8 bytes, whatever the input
-    stats: dict[tuple[int, int], tuple[int, int]] = {}
-    for r in built.toLocalIterator():
-        data[r.segment * (bits // 8) : (r.segment + 1) * (bits // 8)] = np.frombuffer(bytes(r.bits), np.uint8)
-        for size, level, n, c in zip(r.size, r.level, r.n, r.total, strict=True):
-            a, b = stats.get((size, level), (0, 0))
-            stats[size, level] = (a + n, b + c)
-    model = spark.sparkContext.broadcast(Filter(segments, bits, data, _level_means(stats)))
+    grams = learnt.mapInArrow(_pair_counts(slots), shape).unionByName(vocabulary.unionByName(start).mapInArrow(_words_by_slot(slots), shape))
+    sorted_grams = grams.repartition("slot").sortWithinPartitions("slot")
+    built = save(sorted_grams.mapInArrow(_build(BITS_PER_EVENT), "slot int, bits binary, size array<long>, level array<long>, n array<long>, total array<long>"), "filter")
+    flat = built.select(F.explode(F.arrays_zip("size", "level", "n", "total")).alias("x")).groupBy("x.size", "x.level").agg(F.sum("x.n").alias("n"), F.sum("x.total").alias("c"))
+    means = _level_means({(r["size"], r["level"]): (r["n"], r["c"]) for r in flat.collect()})  # 2 * _LEVELS rows at most
     top = vocabulary.orderBy(F.desc("c"), "word").limit(HOT).toArrow()  # HOT rows of 16 bytes at most
     words, counts = top.column("word").to_numpy().view(np.uint64), top.column("c").to_numpy()
     order = np.argsort(words)
     hot = spark.sparkContext.broadcast((words[order], counts[order]))
-
-    scored = save(
-        texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            _score(model, hot, total, distinct),
-            "row long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_log double, score double, rare array<long>, times array<int>",
-        ),
-        "scored",
-    )
+    texts = texts.withColumn("row", F.monotonically_increasing_id())
+
+    weight = built.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
+    floor = total + 0.5 * (distinct + 1)
+    if weight <= MODEL_BYTES:
+        bits, held = np.zeros(slots, np.uint64), [b""] * slots
+        for r in built.select("slot", "bits").toLocalIterator():  # MODEL_BYTES at most
+            held[r.slot] = bytes(r.bits)
+            bits[r.slot] = 8 * len(r.bits)
+        model = spark.sparkContext.broadcast(Filter(bits, np.frombuffer(b"".join(held), np.uint8)))
+        scored = texts.select(*_TEXTS).mapInArrow(_score_with(model, means, hot, floor), _SCORED)
+    else:
+        scored = _score_by_slots(texts, built, slots, means, hot, floor)
+    scored = save(scored, "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     c = F.coalesce("c", F.lit(0))
     others = (
@@ -321,13 +410,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
         .groupBy("row")
         .agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * F.log10(c + 0.5)).alias("log"))
     )
-    floor = float(np.log10(total + 0.5 * (distinct + 1)))
     return scored.join(others, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("hot_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("hot_log") + F.coalesce("log", F.lit(0.0)) - F.col("n_tokens") * floor).alias("base_score"),
+        (F.col("hot_log") + F.coalesce("log", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(floor))).alias("base_score"),
         "score",
     )

@@ -35,19 +35,64 @@ def test_base_is_exact(spark, documents, corpus, monkeypatch, hot):
     assert all(g[6] < 0 for g in got)
 
 
-def test_filter_returns_the_quantised_counts():
-    rng = np.random.default_rng(2)
-    grams = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
-    counts = np.maximum(1, (rng.pareto(1.0, 3000) * 3).astype(np.int64))
-    packed, stats = lm._segment(grams, counts, np.ones(3000, dtype=bool), 1 << 20)
+def one_slot(grams, counts):
+    prints = (grams >> np.uint64(32)).astype(np.uint32)
+    packed, stats = lm._fill(prints, counts, np.ones(len(grams), dtype=bool), lm.BITS_PER_EVENT)
     means = lm._level_means({(s, k): (n, t) for s, rows in stats.items() for k, n, t in rows})
-    found = lm.Filter(1, 1 << 20, packed, means).counts(grams, 2)
-    kept = counts >= lm.LEAST_PAIR
-    assert np.mean(found[kept] == means[2][lm.level_of(counts[kept])]) > 0.995
-    assert np.mean(found[~kept] == 0) > 0.98
-    tight, _ = lm._segment(grams, counts, np.ones(3000, dtype=bool), 4096)
-    often = counts >= np.sort(counts)[-15]
-    assert (lm.Filter(1, 4096, tight, means).counts(grams[often], 2) > 0).all()
+    return packed, means
+
+
+@pytest.mark.parametrize("n", [3000, 30_000])
+def test_filter_returns_the_quantised_counts_at_any_size(n):
+    rng = np.random.default_rng(2)
+    grams = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+    counts = np.maximum(1, (rng.pareto(1.0, len(grams)) * 3).astype(np.int64))
+    packed, means = one_slot(grams, counts)
+    model = lm.Filter(np.array([8 * len(packed)], np.uint64), packed)
+    found = means[2][model.levels(grams)]
+    want = means[2][lm.level_of(counts)]
+    assert (found >= want).all() and np.mean(found == want) > 0.97
+    unseen = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    assert np.mean(model.levels(unseen) > 0) < 0.03
+
+
+def quantised(counts):
+    level = {g: int(lm.level_of(np.array([c]))[0]) for g, c in counts.items()}
+    sums = {}
+    for g, c in counts.items():
+        n, t = sums.get(level[g], (0, 0))
+        sums[level[g]] = (n + 1, t + c)
+    return {g: sums[k][1] / sums[k][0] for g, k in level.items()}
+
+
+def brute_scores(docs):
+    """The smoothed bigram over exact level means, without a filter."""
+    held = [d is not None and zlib.crc32(str(d).encode()) % 5 == 1 for d, _ in docs]
+    texts = [tokens(x) for _, x in docs]
+    words = Counter(t for x, h in zip(texts, held) if not h for t in x)
+    pairs = Counter(p for x, h in zip(texts, held) if not h for p in zip(["<start>", *x], x))
+    n, v, starts = sum(words.values()), len(words), held.count(False)
+    words_q, pairs_q = quantised({**words, "<start>": starts}), quantised(pairs)
+    out = []
+    for (d, x), toks in zip(docs, texts):
+        total = 0.0
+        for h, w in zip(["<start>", *toks], toks):
+            single = (words_q.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))
+            history = words_q.get(h, 0)
+            total += math.log10((min(pairs_q.get((h, w), 0), history, words_q.get(w, 0)) + lm.K * single) / (history + lm.K))
+        out.append((str(d), len(toks), total))
+    return sorted(out)
+
+
+def test_scores_match_brute_force_and_both_ways_agree(spark, documents, corpus, monkeypatch):
+    monkeypatch.setattr(lm, "BITS_PER_EVENT", 64)  # hardly any false hits
+    got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.score_documents(documents).collect())
+    want = brute_scores([(c[0], c[1]) for c in corpus])
+    assert all(a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-3) for a, b in zip(got, want, strict=True))
+    monkeypatch.setattr(lm, "BITS_PER_EVENT", 4)
+    whole = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.score_documents(documents).collect())
+    monkeypatch.setattr(lm, "MODEL_BYTES", 0)
+    assert sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.score_documents(documents).collect()) == whole
 
 
 def test_pairs_beat_words_on_held_out_text(spark):
