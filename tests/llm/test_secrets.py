@@ -35,6 +35,20 @@ def test_base_matches_brute_force_and_more_spans_are_added(spark, corpus):
     assert any("pem:0:" in s and "github:" in s and "login:" in s for s in by_id.values())
 
 
+def test_long_secrets_are_whole(spark):
+    n = 10_000
+    texts = [
+        "a.b-eyJ" + "x" * n + ".eyJ" + "y" * n + "." + "z" * n + " end",
+        "ghp_" + "a" * n, "xoxb-" + "1-" * n, "://" + "u" * n + ":" + "p" * n + "@h", "-----BEGIN " + "A " * n + "PRIVATE KEY-----",
+        "eyJ" * 200_000, "-----BEGIN " * 20_000, "eyJ" + "x" * 9 + ".eyJ" + "y" * 9 + "." + "z" * 9 + ".eyJ",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 AS key", "2 AS spans")
+    got = {r.doc_id: r.spans for r in se.find_secrets(df).collect()}
+    assert f"jwt:4:{4 + 3 * n + 8}" in got[0]
+    assert got[1].startswith(f"github:0:{n + 4}") and f"slack:0:{5 + 2 * n}" in got[2] and got[3] == f"login:0:{2 * n + 5}" and got[4] == f"pem:0:{len(texts[4])}"
+    assert got[5] == "" and got[6] == "" and got[7] == "jwt:0:35"
+
+
 def test_queries():
     by = {r.kind: se.trigram_query(r) for r in se.RULES}
     assert by["hex"] == ("any",)
