@@ -14,12 +14,16 @@ Tables and priors are grouped sums of the text posteriors, and every row's own
 share is taken out of its host before it is judged, so no row confirms itself.
 A further class, ``und``, has all grams alike: texts without letters fall there.
 
-Profiles are fitted on at most about FIT_ROWS labelled documents, drawn by hash.
+Profiles are fitted on at most about FIT_ROWS labelled documents of each language,
+drawn by hash.  The MOST_LANGUAGES commonest languages have profiles of their own;
+any further ones share one, ``other``, so that their rows are known for a language.
 
 Defined cases: a null or empty text leaves the text evidence out, so the other
-evidence decides; a null host, suffix or declaration is a value of its own;
-unknown declared codes are counted like any other; repeated rows count each; an
-empty table gives an empty result; only the columns named in the call are read.
+evidence decides; a very long text counts as a whole, its evidence being a mean; a
+null host, suffix or declaration is a value of its own; unknown declared codes are
+counted like any other; of equally likely languages the first by name is taken, and
+``und`` only if no other is as likely; repeated rows count each; an empty table gives
+an empty result; only the columns named in the call are read, whatever others are called.
 """
 
 from __future__ import annotations
@@ -32,16 +36,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.llm import _text as tx
+from lexquarry.llm._skew import join_groups
 from lexquarry.scratch import save
 
 BUCKETS = 1 << 16
-FIT_ROWS = 8000
+FIT_ROWS = 2000
+MOST_LANGUAGES = 256
+OTHER = "other"
 CREDIT = 60.0
 STRENGTH = 20.0
 UND = "und"
 UND_PRIOR = 0.001
-#: Languages (and declared codes, and suffixes) beyond so many are counted together.
-MOST_VALUES = 64
+#: Pseudo-values in smoothing the tables of declarations and suffixes.
+VALUES = 64
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
@@ -80,20 +87,31 @@ class Profiles:
 
 
 def fit_profiles(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Profiles:
-    """Profiles from at most about FIT_ROWS labelled rows, and at most MOST_VALUES languages."""
-    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    share = FIT_ROWS / max(rows.count(), 1)
+    """Profiles of all languages, each from about FIT_ROWS of its rows at most."""
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    named = sizes.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    names = {r.lang: r.n for r in named}
+    rest = sizes.agg(F.sum("n")).first()[0] or 0
+    rest -= sum(names.values())
+    share = {name: min(1.0, FIT_ROWS / n) for name, n in names.items()}
+    if rest:
+        share[OTHER] = min(1.0, FIT_ROWS / rest)
+    if not share:
+        return Profiles([UND], np.full((BUCKETS, 1), -np.log(BUCKETS), np.float32))
+    chance = labelled.sparkSession.createDataFrame(list(share.items()), "lang string, share double")  # MOST_LANGUAGES + 1 rows at most
     draw = F.shiftrightunsigned(F.xxhash64("text"), 11) / float(1 << 53)
-    drawn = rows.where(draw < share) if share < 1 else rows
+    drawn = rows.withColumn("lang", F.when(F.col("lang").isin(list(names)), F.col("lang")).otherwise(OTHER)).join(F.broadcast(chance), "lang").where(draw < F.col("share"))
+    drawn = drawn.select("lang", "text").dropDuplicates()  # copies are drawn together, and count once
     counts = save(drawn.mapInArrow(_profile_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "profiles")
-    langs = sorted(r.lang for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_VALUES).collect())
-    table = np.full((BUCKETS, len(langs) + 1), 0.5, dtype=np.float64)
-    got = counts.where(F.col("lang").isin(langs)).toArrow() if langs else None  # MOST_VALUES * BUCKETS rows at most
-    if got is not None and got.num_rows:
-        at = {name: k for k, name in enumerate(langs)}
+    langs = sorted(share)
+    table = np.full((BUCKETS, len(langs) + 1), 0.5, dtype=np.float32)
+    at = {name: k for k, name in enumerate(langs)}
+    got = counts.toArrow()  # (MOST_LANGUAGES + 1) * BUCKETS rows at most
+    if got.num_rows:
         table[got.column("bucket").to_numpy(), np.array([at[x] for x in got.column("lang").to_pylist()])] += got.column("n").to_numpy()
     table[:, -1] = 1.0
-    return Profiles([*langs, UND], np.log(table / table.sum(axis=0)).astype(np.float32))
+    return Profiles([*langs, UND], np.log(table / table.sum(axis=0, dtype=np.float64)).astype(np.float32))
 
 
 def _likelihoods(shared):
@@ -147,7 +165,7 @@ def identify(rows: DataFrame, profiles: Profiles, keys: list[str], text: str, de
     spark = rows.sparkSession
     langs = profiles.langs
     k = len(langs)
-    shared = spark.sparkContext.broadcast(profiles)  # BUCKETS * (MOST_VALUES + 1) floats at most
+    shared = spark.sparkContext.broadcast(profiles)  # BUCKETS * (MOST_LANGUAGES + 2) floats at most
     named = rows.select(
         *(F.col(c).alias(f"k{i}") for i, c in enumerate(keys)),
         F.lower(F.substring_index(F.trim(F.col(declared)), "-", 1)).alias("declared"),
@@ -160,7 +178,7 @@ def identify(rows: DataFrame, profiles: Profiles, keys: list[str], text: str, de
     flat = F.array(*(F.lit(float(np.log((1 - UND_PRIOR) / max(k - 1, 1)))) for _ in range(k - 1)), F.lit(float(np.log(UND_PRIOR))))
     soft = read.withColumn("soft", F.transform(_normalised(_added(F.col("evidence"), flat)), lambda p: F.when(F.col("n_grams") > 0, p).otherwise(F.lit(0.0))))
 
-    by_host = soft.groupBy("host", "suffix").agg(_sums(k).alias("host_n"))
+    by_host = soft.groupBy("host", "suffix").agg(_sums(k).alias("host_n"), F.count("*").alias("host_rows"))
     by_suffix = by_host.groupBy("suffix").agg(_sums(k, "host_n").alias("suffix_n"))
     whole = by_suffix.agg(_sums(k, "suffix_n").alias("n")).first()
     total = np.array([x or 0.0 for x in (whole.n or [0.0] * k)])
@@ -181,14 +199,14 @@ def identify(rows: DataFrame, profiles: Profiles, keys: list[str], text: str, de
         return counts.select(
             column,
             F.transform(
-                F.zip_with("n", F.array(*(F.lit(float(x)) for x in total)), lambda a, t: (a + 0.5) / (t + 0.5 * (MOST_VALUES + 1))),
+                F.zip_with("n", F.array(*(F.lit(float(x)) for x in total)), lambda a, t: (a + 0.5) / (t + 0.5 * (VALUES + 1))),
                 lambda x: F.log(x),
             ).alias(f"{column}_log"),
         )
 
     hosts = by_host.join(by_suffix.select("suffix", "suffix_p"), "suffix")
     joined = (
-        soft.join(hosts, ["host", "suffix"])
+        join_groups(soft, hosts, ["host", "suffix"], "host_rows")
         .join(table_of("declared"), "declared")
         .join(table_of("suffix"), "suffix")
     )

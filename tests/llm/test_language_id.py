@@ -52,6 +52,36 @@ def test_held_out_accuracy(spark):
     assert right >= 0.97 * n
 
 
+def test_many_and_rare_languages(spark, monkeypatch):
+    rng = random.Random(9)
+    stock = {f"l{k:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for k in range(80)}
+    docs = [(i, " ".join(rng.choice(stock[lang]) for _ in range(30)), lang, "s") for i, lang in enumerate(x for lang in stock for x in [lang] * 6)]
+    docs += [(10_000 + i, text(rng, "en", 30), "en", "s") for i in range(3000)]
+    docs += [(20_000 + i, "abc " * 20, "en", "s") for i in range(3000)]  # one text, very often
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(4)
+    judged = lambda: li.identify(li.document_columns(df), li.fit_profiles(df), ["doc_id"], "text", "declared", "suffix", "host").collect()
+    rare = {r.doc_id: r for r in judged() if r.doc_id < 10_000}
+    assert all(rare[d[0]].language == d[2] for d in docs[: len(rare)])
+    monkeypatch.setattr(li, "MOST_LANGUAGES", 40)
+    pooled = {r.doc_id: r for r in judged() if r.doc_id < 10_000}
+    assert not any(r.rejected for r in pooled.values())
+    assert sum(r.language == li.OTHER for r in pooled.values()) >= 6 * 41 - 6
+
+
+def test_long_ties_repeats_and_clashing_names(spark):
+    rng = random.Random(3)
+    docs = [(i, text(rng, lang, 30), lang, "s") for i in range(60) for lang in ("en", "de")]
+    docs += [(900, text(rng, "de", 60_000), None, "s"), (901, text(rng, "de", 30), None, "s"), (901, docs[1][1], "de", "s"), (901, docs[1][1], "de", "s"), (902, "qqq", "en", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    df = df.selectExpr("*", "1 AS key", "'x' AS host", "'fr' AS declared", "'y' AS suffix", "2 AS soft", "'z' AS language")
+    got = li.identify_corpus(df, spark.createDataFrame([], "page_id long, url string, html string"))
+    assert got.count() == len(docs)
+    by = {r.doc_id: r.language for r in got.collect()}
+    assert by[900] == "de" and by[901] == "de"
+    kept = li.keep_identified(df)
+    assert kept.columns == df.columns and kept.count() == len(docs)
+
+
 def test_pages_keep_host_and_suffix(spark):
     r = li.page_columns(spark.createDataFrame([(1, "https://me@WWW.Site.CO:8/x", "<p>a")], "page_id long, url string, html string")).first()
     assert (r.host, r.suffix, r.text.strip()) == ("www.site.co", "co", "a")
