@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexquarry.scratch import save
+
 
 def latest(df: DataFrame, key: str, *order: str) -> DataFrame:
     """The row of each key with the greatest ``order``; partial maxima are taken before the shuffle."""
@@ -42,17 +44,18 @@ def relevance_buckets(df: DataFrame, score: str, tie: str, k: int = 20) -> DataF
 
 
 def numbered(df: DataFrame, group: str, *order: Column) -> DataFrame:
-    """``df`` with each row's ``rank`` in its group's order and the group's size ``n``.
+    """``df`` with each row's ``rank`` in its group's order and the group's size ``n``; null is a group too.
 
     Ranks come from sorting ranges of the order and adding up the ranges' sizes, so no task holds a group.
+    The ranges are written once: two reads of an unsaved range exchange may sample different bounds.
     """
-    spans = 256
-    ranged = df.repartitionByRange(spans, F.col(group), *order).withColumn("span", F.spark_partition_id())
-    rows = ranged.withColumn("at", F.row_number().over(Window.partitionBy("span", group).orderBy(*order)))
-    sizes = ranged.groupBy(group, "span").agg(F.count("*").alias("size"))
-    before = Window.partitionBy(group).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(group, "span", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"), F.sum("size").over(Window.partitionBy(group)).alias("n"))
-    return rows.join(starts, [group, "span"]).select(*df.columns, (F.col("start") + F.col("at")).alias("rank"), "n")
+    ranged = save(df.repartitionByRange(F.col(group), *order).withColumn("__span", F.spark_partition_id()), "ranged")
+    rows = ranged.withColumn("__at", F.row_number().over(Window.partitionBy("__span", group).orderBy(*order)))
+    sizes = ranged.groupBy(F.col(group).alias("__group"), F.col("__span").alias("__of")).agg(F.count("*").alias("__size"))
+    before = Window.partitionBy("__group").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__group", "__of", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"), F.sum("__size").over(Window.partitionBy("__group")).alias("n"))
+    joined = rows.join(starts, (F.col("__span") == F.col("__of")) & F.col(group).eqNullSafe(F.col("__group")))
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), (F.col("__start") + F.col("__at")).alias("rank"), "n")
 
 
 def stride_sample(df: DataFrame, group: str, order: str, target: int) -> DataFrame:

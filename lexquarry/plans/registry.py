@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The module of each query.
+MODULE: dict[str, str] = {}
 
 
 class Tables:
@@ -24,6 +26,7 @@ def query(sql: str | None = None):
     """Register a function of :class:`Tables` under its own name."""
 
     def add(f: Callable[[Tables], DataFrame]):
+        MODULE[f.__name__] = f.__module__.rsplit(".", 1)[-1]
         QUERIES[f.__name__] = lambda spark, folder: f(Tables(spark, folder))
         if sql:
             ORACLES[f.__name__] = sql
