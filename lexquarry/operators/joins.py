@@ -61,3 +61,9 @@ def bag_difference(old: DataFrame, new: DataFrame, keys: list[str], item: str) -
         F.sum(F.greatest(F.col("a") - F.col("b"), F.lit(0))).alias("removed"),
         F.sum(F.least("a", "b")).alias("shared"),
     )
+
+
+def kept_times(now: DataFrame, prior: DataFrame, key: str, digest: str, at: str, fresh: Column) -> DataFrame:
+    """``key, at``: the prior time of rows whose digest is what it was, ``fresh`` for all others."""
+    old = prior.select(key, F.col(digest).alias("_digest"), F.col(at).alias("_at"))
+    return now.join(old, key, "left").select(key, F.when(F.col(digest) == F.col("_digest"), F.col("_at")).otherwise(fresh).alias(at))
