@@ -179,12 +179,12 @@ def currency_gate(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH need AS (SELECT DISTINCT user_id, k FROM events, (VALUES ('click'), ('purchase'), ('signup')) v(k)), have AS (SELECT DISTINCT user_id, event_type AS k FROM events WHERE value >= 50)
+WITH need AS (SELECT DISTINCT user_id, k FROM events, (VALUES ('click'), ('purchase'), ('signup')) v(k)), have AS (SELECT DISTINCT user_id, event_type AS k FROM events WHERE value >= 150)
 SELECT user_id, k AS missing FROM need ANTI JOIN have USING (user_id, k)""")
 def completeness_gate(t: Tables) -> DataFrame:
     """Required categories for which a user has no evidence."""
     need = t.events.select("user_id").distinct().withColumn("k", F.explode(F.array(*(F.lit(x) for x in ("click", "purchase", "signup")))))
-    have = t.events.where("value >= 50").select("user_id", F.col("event_type").alias("k"))
+    have = t.events.where("value >= 150").select("user_id", F.col("event_type").alias("k"))
     return need.join(have, ["user_id", "k"], "left_anti").withColumnRenamed("k", "missing")
 
 
