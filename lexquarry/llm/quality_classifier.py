@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.llm import _text as tx
+from lexquarry.llm._skew import join_groups
 from lexquarry.scratch import save
 
 FIT_ROWS = 20_000
@@ -249,7 +250,7 @@ def classify(rows: DataFrame, evidence: list[Evidence], rates: list[float], keys
     host_s = [_strength(hosts, f"host_{k}", "host_n", mean[k]) for k in kinds]
     path_s = [_strength(paths, f"path_{k}", "path_n", mean[k]) for k in kinds]
     sites = paths.join(hosts, "host")
-    joined = read.join(sites, ["host", "path"])
+    joined = join_groups(read, sites, ["host", "path"], "path_n")
 
     def rate(k: int) -> tuple[Column, Column]:
         host = (F.col(f"host_{k}") - F.col(f"d{k}") + host_s[k] * mean[k]) / (F.col("host_n") - 1 + host_s[k])
