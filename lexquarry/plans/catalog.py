@@ -1,6 +1,6 @@
 """All queries of the library but those of its optional subpackage."""
 
-from lexquarry.plans import citation_queries, date_queries, gate_queries, nested_queries, record_queries, relational_queries, text_queries  # noqa: F401  (they register themselves)
+from lexquarry.plans import citation_queries, date_queries, gate_queries, nested_queries, record_queries, relational_queries, text_queries, unit_queries  # noqa: F401  (they register themselves)
 from lexquarry.plans.registry import MODULE, ORACLES, QUERIES
 
 __all__ = ["MODULE", "ORACLES", "QUERIES"]
