@@ -51,11 +51,38 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     return leaves.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+#: Members of a key that one task pairs with all the others.
+BLOCK = 1000
+
+
 def shared_key_edges(memberships: DataFrame, node: str, key: str) -> DataFrame:
-    """``src, dst, weight``: pairs of nodes (src < dst) by the number of keys they share."""
-    a = memberships.select(F.col(node).alias("src"), key).distinct()
-    b = a.select(F.col("src").alias("dst"), key)
-    return a.join(b, key).where("src < dst").groupBy("src", "dst").agg(F.count("*").alias("weight"))
+    """``src, dst, weight``: pairs of nodes (src < dst) by the number of keys they share.
+
+    The pairs are the result; a key of more than BLOCK nodes has its nodes dealt to blocks,
+    each paired with all of the key's nodes, so that no task makes all pairs of a large key.
+    """
+    a = memberships.select(F.col(node).alias("src"), F.col(key).alias("_key")).where("src IS NOT NULL AND _key IS NOT NULL").distinct()
+    blocks = a.groupBy("_key").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks")).where("_blocks > 1")
+    n = F.coalesce("_blocks", F.lit(1))
+    left = a.join(blocks, "_key", "left").select("src", "_key", F.pmod(F.xxhash64("src"), n).alias("_block"))
+    right = a.join(blocks, "_key", "left").select(F.col("src").alias("dst"), "_key", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("_block"))
+    return left.join(right, ["_key", "_block"]).where("src < dst").groupBy("src", "dst").agg(F.count("*").alias("weight"))
+
+
+def sharing(nodes: DataFrame, memberships: DataFrame, node: str, key: str) -> DataFrame:
+    """All nodes that share a key with one of ``nodes`` (a column ``node``), by way of the keys, without pairs."""
+    keys = memberships.join(nodes.select(F.col("node").alias(node)).distinct(), node, "left_semi").select(key).distinct()
+    return memberships.join(keys, key, "left_semi").select(F.col(node).alias("node")).distinct()
+
+
+def hops(start: int, memberships: DataFrame, node: str, key: str, most: int) -> DataFrame:
+    """``start, node, hops`` of the nodes within ``most`` steps of shared keys."""
+    spark = memberships.sparkSession
+    reached = spark.createDataFrame([(start, 0)], "node long, hops long")
+    for k in range(1, most + 1):
+        step = sharing(reached.select("node"), memberships, node, key).select("node", F.lit(k).cast("long").alias("hops"))
+        reached = reached.unionByName(step).groupBy("node").agg(F.min("hops").alias("hops"))
+    return reached.select(F.lit(start).cast("long").alias("start"), "node", "hops")
 
 
 def neighbours(edges: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +30,9 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def diversified(df: DataFrame, group: str, score: str, tie: str, k: int) -> DataFrame:
-    """Top ``k`` rows, each group's best row going first."""
-    best = df.groupBy(group).agg(F.max_by(tie, F.struct(F.col(score), -F.col(tie))).alias("best"))
-    marked = df.join(best, group)
+    """Top ``k`` rows, each group's best row going first; null is a group too."""
+    best = df.groupBy(F.col(group).alias("_group")).agg(F.max_by(tie, F.struct(F.col(score), -F.col(tie))).alias("best"))
+    marked = df.join(best, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
     return top_k(marked.withColumn("leads", (F.col(tie) == F.col("best")).cast("int")).drop("best"), k, F.desc("leads"), F.desc(score), F.col(tie))
 
 
@@ -68,15 +70,20 @@ def stride_sample(df: DataFrame, group: str, order: str, target: int) -> DataFra
 def budget_pick(df: DataFrame, group: str, order: str, cost: str, budget: int) -> DataFrame:
     """Rows of each group taken in order while they fit the budget; those that do not fit are skipped, not the end.
 
-    Groups are small by nature (one request's evidence); each is folded in one place.
+    Ties in the order go by cost.  Groups stream through sorted partitions: only the group at hand and
+    what is left of its budget are held, whatever a group's size.
     """
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        left, kept = budget, []
-        for x in rows.sort_values(order)[cost]:
-            kept.append(x <= left)
-            left -= x if x <= left else 0
-        return rows.sort_values(order).assign(kept=kept)
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema) + ", kept boolean"
-    return df.groupBy(group).applyInPandas(fold, schema)
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, left = None, budget
+        for batch in batches:
+            kept = []
+            for g, x in zip(batch[group], batch[cost], strict=True):
+                if g != now:
+                    now, left = g, budget
+                kept.append(x <= left)
+                left -= x if x <= left else 0
+            yield batch.assign(kept=kept)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", kept boolean"
+    return df.repartition(group).sortWithinPartitions(group, order, cost).mapInPandas(pick, schema)

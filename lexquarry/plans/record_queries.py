@@ -183,7 +183,7 @@ def state_reconcile(t: Tables) -> DataFrame:
 
 # ---- ladders, taxonomies and coercions -------------------------------------
 
-# Sectors of part types, with a default by first word.
+# Example tables of this catalogue: sectors of part types, with a default by first word.
 SECTORS = {"STANDARD BRASS": "11", "PROMO STEEL": "21", "ECONOMY TIN": "22"}
 DEFAULTS = {"STANDARD": "31", "PROMO": "42", "ECONOMY": "44", "SMALL": "51"}
 
@@ -205,9 +205,9 @@ def taxonomy_fallback(t: Tables) -> DataFrame:
 
 @query("""
 SELECT l_suppkey, n AS sectors, CASE WHEN n >= 5 THEN 'universal' WHEN n >= 3 THEN 'broad' WHEN n >= 1 THEN 'narrow' ELSE 'none' END AS scope
-FROM (SELECT l_suppkey, count(DISTINCT p_brand)::BIGINT AS n FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 48 GROUP BY 1)""")
+FROM (SELECT l_suppkey, count(DISTINCT p_brand)::BIGINT AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)""")
 def scope_classify(t: Tables) -> DataFrame:
-    pairs = t.lineitem.where("l_quantity >= 48").select("l_suppkey", F.col("l_partkey").alias("p_partkey")).distinct()
+    pairs = t.lineitem.select("l_suppkey", F.col("l_partkey").alias("p_partkey")).distinct()
     n = pairs.join(t.part.select("p_partkey", "p_brand"), "p_partkey").groupBy("l_suppkey").agg(F.count_distinct("p_brand").alias("sectors"))
     s = F.col("sectors")
     return n.withColumn("scope", text.ladder((s >= 5, "universal"), (s >= 3, "broad"), (s >= 1, "narrow"), otherwise="none"))
@@ -262,10 +262,12 @@ def search_phases(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH {_EDGES_SQL} SELECT 'out' AS direction, dst AS other, weight FROM e WHERE src = 7 UNION ALL SELECT 'in', src, weight FROM e WHERE dst = 7""")
-def relation_list(t: Tables) -> DataFrame:
-    e = shared_key_graph(t).where("src = 7 OR dst = 7")
-    out = F.col("src") == 7
-    return e.select(F.when(out, "out").otherwise("in").alias("direction"), F.when(out, F.col("dst")).otherwise(F.col("src")).alias("other"), "weight")
+def relation_list(t: Tables, node: int = 7) -> DataFrame:
+    """One supplier's relations, both ways, found from its own parts alone."""
+    pairs = t.lineitem.select("l_suppkey", "l_partkey").distinct()
+    own = pairs.where(F.col("l_suppkey") == node).select("l_partkey")
+    others = pairs.where(F.col("l_suppkey") != node).join(own, "l_partkey", "left_semi").groupBy(F.col("l_suppkey").alias("other")).agg(F.count("*").alias("weight"))
+    return others.select(F.when(F.col("other") > node, "out").otherwise("in").alias("direction"), "other", "weight")
 
 
 @query(f"""

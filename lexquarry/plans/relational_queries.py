@@ -300,18 +300,18 @@ def json_props(t: Tables) -> DataFrame:
 # ---- graph -----------------------------------------------------------------
 
 
-def _bulk(t: Tables) -> DataFrame:
-    """Suppliers by the parts of their largest orders."""
-    return t.lineitem.where("l_quantity >= 48").select("l_suppkey", "l_partkey")
+def _supplied(t: Tables) -> DataFrame:
+    """Suppliers by their parts."""
+    return t.lineitem.select("l_suppkey", "l_partkey")
 
 
-_EDGES_SQL = """m AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS k FROM lineitem WHERE l_quantity >= 48),
+_EDGES_SQL = """m AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS k FROM lineitem),
   e AS (SELECT a.s AS src, b.s AS dst, count(*)::BIGINT AS weight FROM m a JOIN m b ON a.k = b.k AND a.s < b.s GROUP BY ALL)"""
 
 
 @query(f"WITH {_EDGES_SQL} SELECT src, dst, weight FROM e")
 def shared_key_graph(t: Tables) -> DataFrame:
-    return graph.shared_key_edges(_bulk(t), "l_suppkey", "l_partkey")
+    return graph.shared_key_edges(_supplied(t), "l_suppkey", "l_partkey")
 
 
 @query(f"""
@@ -321,24 +321,17 @@ def graph_neighbors(t: Tables) -> DataFrame:
     return graph.neighbours(shared_key_graph(t))
 
 
-_LINKS_SQL = "l AS (SELECT DISTINCT o_custkey AS a, 1000000 + l_partkey AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity >= 50 AND l_discount >= 0.1)"
-
-
-@query(f"""
-WITH RECURSIVE {_LINKS_SQL}, e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-  r(node, seen) AS (SELECT a, a FROM e UNION SELECT e.b, r.seen FROM r JOIN e ON r.node = e.a)
-SELECT node, min(seen) AS component FROM r GROUP BY node""")
+@query()
 def graph_components(t: Tables) -> DataFrame:
-    """Components of customers and the parts of their largest, most discounted lines."""
-    lines = t.lineitem.where("l_quantity >= 50 AND l_discount >= 0.1").select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_partkey") + 1_000_000).alias("dst"))
+    """Components of customers and the parts they bought (too much for recursive SQL; tested against union-find)."""
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_partkey") + 1_000_000_000).alias("dst"))
     links = t.orders.select("o_orderkey", F.col("o_custkey").alias("src")).join(lines, "o_orderkey").select("src", "dst").distinct()
     return graph.connected_components(links)
 
 
 @query(f"""
-WITH {_EDGES_SQL}, h1 AS (SELECT 1::BIGINT AS start, dst AS node, 1 AS hops FROM e WHERE src = 1), h2 AS (SELECT 1::BIGINT, e.dst, 2 FROM h1 JOIN e ON h1.node = e.src)
-SELECT start, node, min(hops)::BIGINT AS hops FROM (SELECT 1::BIGINT AS start, 1::BIGINT AS node, 0 AS hops UNION ALL SELECT * FROM h1 UNION ALL SELECT * FROM h2) GROUP BY start, node""")
-def two_hop(t: Tables) -> DataFrame:
-    start = t.spark.range(1, 2).select(F.col("id").alias("start"), F.col("id").alias("node"), F.lit(0).cast("long").alias("hops"))
-    edges = shared_key_graph(t)
-    return graph.traverse(graph.traverse(start, edges), edges)
+WITH {_EDGES_SQL}, b AS (SELECT src AS a, dst AS b FROM e UNION ALL SELECT dst, src FROM e), h1 AS (SELECT b AS node FROM b WHERE a = 1), h2 AS (SELECT b.b AS node FROM h1 JOIN b ON h1.node = b.a)
+SELECT 1::BIGINT AS start, node, min(hops)::BIGINT AS hops FROM (SELECT 1::BIGINT AS node, 0 AS hops UNION ALL SELECT node, 1 FROM h1 UNION ALL SELECT node, 2 FROM h2) GROUP BY node""")
+def two_hop(t: Tables, start: int = 1) -> DataFrame:
+    """Suppliers within two steps of one."""
+    return graph.hops(start, _supplied(t), "l_suppkey", "l_partkey", 2)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexquarry.functions import scoring, text
-from lexquarry.functions.chunking import paragraph_chunks
+from lexquarry.functions.chunking import MOST_CHARS, paragraph_chunks
 from lexquarry.operators import joins, ranking
 from lexquarry.plans.registry import Tables, query
 
@@ -50,7 +50,13 @@ def token_frequency(t: Tables) -> DataFrame:
     return per_doc.groupBy("token").agg(F.sum("n").alias("n"), F.count("*").alias("n_docs"))
 
 
-@query()
+_LINES = "list_filter(list_transform(string_split_regex(text, '\\r\\n|[\\n\\r\\f]'), lambda l: trim(regexp_replace(l, '[ \\t]+', ' ', 'g'))), lambda l: l <> '')"
+
+
+@query(f"""
+WITH l AS (SELECT doc_id, list_transform({_LINES}, lambda x: {{'c': [x], 'n': length(x) + 1}}) AS l FROM documents),
+ p AS (SELECT doc_id, list_reduce(l, lambda a, x: CASE WHEN a.n + x.n > {MOST_CHARS} THEN {{'c': list_append(a.c, x.c[1]), 'n': x.n}} ELSE {{'c': list_append(a.c[:-2], a.c[-1] || chr(10) || chr(10) || x.c[1]), 'n': a.n + x.n}} END) AS r FROM l WHERE len(l) > 0)
+SELECT doc_id, i - 1 AS chunk_index, r.c[i] AS chunk FROM (SELECT doc_id, r, unnest(range(1, len(r.c) + 1)) AS i FROM p)""")
 def chunk_paragraphs(t: Tables) -> DataFrame:
     return paragraph_chunks(t.documents)
 
@@ -159,7 +165,7 @@ def diversify_rank(t: Tables) -> DataFrame:
     return ranking.diversified(t.documents.select("source", "doc_id", "n_chars"), "source", "n_chars", "doc_id", 50)
 
 
-# Tags with their terms and weights.
+# Example rules of this catalogue: tags with their terms and weights.
 TAGS = {
     "secrets": (("password", "secret", "token"), 0.5),
     "license": (("license", "licensed", "apache"), 0.6),
@@ -254,7 +260,15 @@ def word_bag_diff(t: Tables) -> DataFrame:
     return found.select("*", F.round(share, 4).alias("preservation"), (share >= 0.95).alias("passed"))
 
 
-@query()
+_COST = """greatest(1, coalesce(list_sum(list_transform(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r\\f]'),
+       lambda p: CASE WHEN regexp_matches(p, '^[A-Za-z0-9_]') THEN ceil(length(p) / 4.0)::BIGINT ELSE 1 END)), 0))::BIGINT"""
+
+
+@query(f"""
+WITH RECURSIVE c AS (SELECT conv_id, turn, cost, row_number() OVER (PARTITION BY conv_id ORDER BY turn, cost) AS i FROM (SELECT conv_id, turn, {_COST} AS cost FROM conversations)),
+ r AS (SELECT conv_id, turn, cost, i, cost <= 64 AS kept, 64 - CASE WHEN cost <= 64 THEN cost ELSE 0 END AS left_over FROM c WHERE i = 1
+  UNION ALL SELECT c.conv_id, c.turn, c.cost, c.i, c.cost <= r.left_over, r.left_over - CASE WHEN c.cost <= r.left_over THEN c.cost ELSE 0 END FROM r JOIN c ON c.conv_id = r.conv_id AND c.i = r.i + 1)
+SELECT conv_id, turn, cost, kept FROM r""")
 def budget_pick(t: Tables) -> DataFrame:
     """Turns of each conversation that fit a budget of 64 tokens, in order."""
     costs = t.conversations.select("conv_id", "turn", text.token_count("text").alias("cost"))

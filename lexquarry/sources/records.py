@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lexquarry.functions.text import first_present
+from lexquarry.operators.ranking import numbered
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -57,9 +60,67 @@ def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def upsert(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` with rows of the same keys replaced and new ones added."""
-    return target.join(rows, keys, "left_anti").unionByName(rows)
+def upsert(target: DataFrame, rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """``target`` with rows of the same keys replaced and new ones added.
+
+    Of repeated keys in ``rows`` the one with the greatest ``order`` counts (any one without an order); null equals null.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct(*order)) if order else F.first(F.struct(*rest))
+    fresh = rows.groupBy(*keys).agg(last.alias("_row")).select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest))
+    named = fresh.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return target.join(named, same, "left_anti").unionByName(fresh)
+
+
+def read_jsonl_optional(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """As :func:`read_jsonl`, but a path that is not there gives no rows, and blank lines are skipped."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.text(path).where(F.trim("value") != "")
+    return rows.select(F.from_json("value", spark.createDataFrame([], schema).schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def read_manifest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """``file, line, row, error`` of JSON lines: the line's number (blank lines count) and what is wrong with it, if anything."""
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("_at"))
+    lines = numbered(raw, "file", F.col("_at")).where(F.trim("value") != "")
+    marked = lines.select("file", F.col("rank").alias("line"), F.from_json("value", StructType([*schema.fields]).add("_bad", "string"), {"columnNameOfCorruptRecord": "_bad"}).alias("r"), "value")
+    bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
+    return marked.select("file", "line", F.when(~bad, F.struct(*(F.col(f"r.{f.name}") for f in schema.fields))).alias("row"), F.when(bad, F.concat(F.lit("malformed: "), F.substring("value", 1, 80))).alias("error"))
+
+
+def read_layers(spark: SparkSession, manifest: dict[str, str], schema: StructType | str) -> DataFrame:
+    """The index files of all layers of a manifest (name to path) with the layer's name."""
+    parts = [read_jsonl_optional(spark, path, schema).withColumn("layer", F.lit(name)) for name, path in sorted(manifest.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header and quoted text; lists, maps and structs go as JSON."""
+    nested = [f.name for f in df.schema if f.dataType.typeName() in ("array", "map", "struct")]
+    plain = df.withColumns({c: F.to_json(F.col(f"`{c}`")) for c in nested})
+    plain.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+
+
+def write_snapshot(df: DataFrame, folder: str, version: str) -> str:
+    """JSON lines in a folder of their own for each version, so that the version before stays as it was; returns the path."""
+    path = f"{folder.rstrip('/')}/version={version}"
+    df.write.mode("overwrite").json(path)
+    return path
+
+
+def append_jsonl(df: DataFrame, path: str, schema: StructType | str) -> None:
+    """Append rows of the schema to JSON lines whose own rows still fit it (checked first, as a malformed file must not grow)."""
+    read_jsonl_optional(df.sparkSession, path, schema).write.format("noop").mode("overwrite").save()
+    df.write.mode("append").json(path)
+
+
+def replace_index(tables: dict[str, tuple[DataFrame, list[str]]], folder: str) -> None:
+    """Write every table of an index anew, one row for each key."""
+    for name, (df, keys) in tables.items():
+        df.dropDuplicates(keys).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
 
 
 def write_by_quarter(df: DataFrame, path: str, date: str) -> None:
