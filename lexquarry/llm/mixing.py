@@ -49,9 +49,14 @@ def find_exponent(totals: DataFrame, entropy: float | None = None, repetition: f
 
     Entropy falls and repetition falls as the exponent grows, so with an entropy
     target the exponent is where the entropy meets it, and with a repetition
-    limit the least one that keeps it; with both, the greater of the two.
+    limit the least one that keeps it; with both, the greater of the two.  An
+    entropy that no exponent gives is an error.
     """
     out = 0.0
+    if entropy is not None:
+        even, own = (m[1] for m in _measures(totals, [0.0, 1.0]))
+        if not own - 1e-9 <= entropy <= even + 1e-9:
+            raise ValueError(f"an entropy of {entropy} is out of reach: the weights' lies between {own} and {even}")
     for target, meets in (
         (entropy, lambda m: m[1] <= entropy),
         (repetition, lambda m: m[2] <= repetition),

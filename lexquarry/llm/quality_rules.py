@@ -4,14 +4,15 @@ Each rule votes good (1), bad (-1) or abstains (0).  Expectation-maximisation
 estimates, without labels, how often each rule gives each vote to good and to
 bad texts (Dawid and Skene's model); the posterior that a text is good replaces
 "all rules must pass".  Texts are grouped by their votes first, so an iteration
-reads at most 3 ^ rules rows.  A prior of PRIOR_SHARE of the rows, spread as in
-START, keeps the classes from changing places.
+reads at most 3 ^ rules rows.  A prior of PRIOR_ROWS pseudo-rows, spread as in START,
+keeps the classes from changing places; its part of the estimates shrinks as texts grow in number.
 
 A text fails at once with fewer than 10 words or with over 20 % of its words in
 repeated 5-word windows; else it is kept if its posterior is 0.5 or more.
 
-Defined cases: a null text has no words and fails; repeated rows are judged
-each; an empty table gives an empty result; only id and text are read.
+Defined cases: a null text has no words and fails; a very long text is one row like
+any other; a posterior of exactly 0.5 keeps the text; repeated rows are judged each; an
+empty table gives an empty result; only id and text are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from lexquarry.scratch import save
 
 _SPACE = r"[\x20\x09-\x0D]"
 ROUNDS = 25
-PRIOR_SHARE = 0.1
+PRIOR_ROWS = 100.0
 #: Starting shares of the votes (bad, abstain, good) among good and among bad texts.
 START = {"good": (0.05, 0.25, 0.70), "bad": (0.50, 0.30, 0.20)}
 START_GOOD = 0.85
@@ -92,22 +93,31 @@ def votes() -> dict[str, Column]:
     }
 
 
-def _posterior(model: dict) -> Column:
+def _ratios(model: dict) -> tuple[float, list[float]]:
+    """The log odds of good, and the log ratios of all votes, by rule and then vote."""
+    odds = math.log(model["p"] / (1 - model["p"]))
+    return odds, [math.log(model["good", r, v] / model["bad", r, v]) for r in RULES for v in (-1, 0, 1)]
+
+
+def _posterior(odds: Column, ratios: Column) -> Column:
     """P(good | votes) under the model's shares."""
-    odds = F.lit(math.log(model["p"] / (1 - model["p"])))
-    for rule in RULES:
-        for vote in (-1, 0, 1):
-            ratio = math.log(model["good", rule, vote] / model["bad", rule, vote])
-            odds = odds + F.when(F.col(rule) == vote, F.lit(ratio)).otherwise(F.lit(0.0))
+    for k, rule in enumerate(RULES):
+        odds = odds + F.get(ratios, F.col(rule) + (3 * k + 1))
     return 1 / (1 + F.exp(-odds))
 
 
 def fit(patterns: DataFrame, rounds: int = ROUNDS) -> dict:
-    """EM over a table of vote patterns with their numbers ``n``; returns the model's shares."""
+    """EM over a table of vote patterns with their numbers ``n``; returns the model's shares.
+
+    The shares reach each round as a row of data, so that all rounds run the same compiled plan.
+    """
+    spark = patterns.sparkSession
     model: dict = {(y, r, v): START[y][v + 1] for y in START for r in RULES for v in (-1, 0, 1)}
     model["p"] = START_GOOD
     for _ in range(rounds):
-        good = patterns.withColumn("good", F.col("n") * _posterior(model)).withColumn("bad", F.col("n") - F.col("good"))
+        shares = spark.createDataFrame([_ratios(model)], "odds double, ratios array<double>")
+        weighed = patterns.crossJoin(F.broadcast(shares))  # one row
+        good = weighed.withColumn("good", F.col("n") * _posterior(F.col("odds"), F.col("ratios"))).withColumn("bad", F.col("n") - F.col("good"))
         row = good.agg(
             *(F.sum(y).alias(y) for y in START),
             *(F.sum(F.when(F.col(r) == v, F.col(y)).otherwise(0.0)).alias(f"{y}_{r}_{v}") for y in START for r in RULES for v in (-1, 0, 1)),
@@ -115,11 +125,11 @@ def fit(patterns: DataFrame, rounds: int = ROUNDS) -> dict:
         if not row["good"]:
             return model
         total = row["good"] + row["bad"]
-        extra = {"good": PRIOR_SHARE * total * START_GOOD, "bad": PRIOR_SHARE * total * (1 - START_GOOD)}
+        extra = {"good": PRIOR_ROWS * START_GOOD, "bad": PRIOR_ROWS * (1 - START_GOOD)}
         new: dict = {
             (y, r, v): (row[f"{y}_{r}_{v}"] + extra[y] * START[y][v + 1]) / (row[y] + extra[y]) for y in START for r in RULES for v in (-1, 0, 1)
         }
-        new["p"] = (row["good"] + extra["good"]) / (total * (1 + PRIOR_SHARE))
+        new["p"] = (row["good"] + extra["good"]) / (total + PRIOR_ROWS)
         change = max(abs(new[k] - model[k]) for k in model)
         model = new
         if change < 1e-4:
@@ -131,7 +141,8 @@ def judge(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, the counts, ``base_failed``, the votes, ``posterior`` and ``kept``."""
     counted = save(text_counts(docs).withColumns(votes()), "counts")
     patterns = save(counted.groupBy(*RULES).agg(F.count("*").alias("n")).coalesce(1), "patterns")  # 3 ^ 7 rows at most
-    posterior = _posterior(fit(patterns))
+    odds, ratios = _ratios(fit(patterns))
+    posterior = _posterior(F.lit(odds), F.array(*(F.lit(x) for x in ratios)))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return counted.select(
         "doc_id",

@@ -53,6 +53,12 @@ def test_entropy_target(documents, corpus):
     assert math.isclose(-sum(x * math.log(x) for x in w.values() if x), target, abs_tol=1e-5)
 
 
+def test_entropy_out_of_reach(documents):
+    for target in (0.01, 99.0):
+        with pytest.raises(ValueError):
+            mx.mixture(documents, entropy=target, repetition=None)
+
+
 def test_mix_repeats_rows(documents, corpus, small_blocks):
     want = Counter()
     for r in mx.mixture(documents, budget=3 * sum(shares(corpus).values())).collect():

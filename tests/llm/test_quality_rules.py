@@ -39,5 +39,41 @@ def test_posterior_separates_bad_from_good(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def plain_em(rows):
+    """EM over single rows of votes, without patterns or DataFrames."""
+    import math
+
+    good = {(r, v): qr.START["good"][v + 1] for r in qr.RULES for v in (-1, 0, 1)}
+    bad = {(r, v): qr.START["bad"][v + 1] for r in qr.RULES for v in (-1, 0, 1)}
+    p = qr.START_GOOD
+
+    def posterior(votes):
+        odds = math.log(p / (1 - p)) + sum(math.log(good[r, v] / bad[r, v]) for r, v in zip(qr.RULES, votes))
+        return 1 / (1 + math.exp(-odds))
+
+    for _ in range(qr.ROUNDS):
+        post = [posterior(v) for v in rows]
+        g, b = sum(post), sum(1 - x for x in post)
+        old = dict(good) | {("bad", *k): x for k, x in bad.items()} | {"p": p}
+        eg, eb = qr.PRIOR_ROWS * qr.START_GOOD, qr.PRIOR_ROWS * (1 - qr.START_GOOD)
+        for k, r in enumerate(qr.RULES):
+            for v in (-1, 0, 1):
+                good[r, v] = (sum(x for x, votes in zip(post, rows) if votes[k] == v) + eg * qr.START["good"][v + 1]) / (g + eg)
+                bad[r, v] = (sum(1 - x for x, votes in zip(post, rows) if votes[k] == v) + eb * qr.START["bad"][v + 1]) / (b + eb)
+        p = (g + eg) / (g + b + qr.PRIOR_ROWS)
+        new = dict(good) | {("bad", *k): x for k, x in bad.items()} | {"p": p}
+        if max(abs(new[k] - old[k]) for k in new) < 1e-4:
+            break
+    return [posterior(v) for v in rows]
+
+
+def test_posteriors_match_plain_em(documents):
+    clash = documents.selectExpr("*", "1 AS length", "2 AS n", "'x' AS good", "0 AS votes")
+    rows = qr.judge(clash).collect()
+    want = plain_em([tuple(r.votes) for r in rows])
+    assert all(abs(r.posterior - w) < 2e-6 for r, w in zip(rows, want, strict=True))
+    assert all(r.kept == (not r.base_failed and w >= 0.5) for r, w in zip(rows, want, strict=True) if abs(w - 0.5) > 1e-5)
+
+
 def test_empty(spark):
     assert qr.judge(spark.createDataFrame([], "doc_id long, text string")).count() == 0
