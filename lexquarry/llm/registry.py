@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lexquarry.llm import oracles
 from lexquarry.llm.decontaminate import contamination
 from lexquarry.llm.jaccard_join import similar_documents
 from lexquarry.llm.language_id import identify_corpus
@@ -62,8 +64,51 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+# ---- what SQL can check of the operators' results ----------------------------
+
+
+def lm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1 without the model's score; base scores to four places, as sums differ by their order."""
+    return op1_lm_scoring(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+def ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op2's contract."""
+    return op2_ngram_jaccard_join(spark, sf_dir).select("doc_id", "n_shingles", "component_id")
+
+
+def shard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5's rows without their places."""
+    return op5_sharding(spark, sf_dir).select("doc_id", "size", "law")
+
+
+def shard_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5 promises of its shards: whole, gapless, nearly equal, and equal texts side by side but where a shard ends."""
+    rows = op5_sharding(spark, sf_dir)
+    largest = rows.agg(F.max("size").alias("largest"))
+    shards = rows.groupBy("shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.max("slot").alias("last"), F.min("slot").alias("first"), F.count_distinct("slot").alias("slots"))
+    groups = rows.groupBy("text_crc32", "size").agg(F.count_distinct("shard").alias("parts"), F.sum("size").alias("group_bytes"))
+    total = shards.agg(F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"), F.count("*").alias("shards"), F.bool_and((F.col("first") == 0) & (F.col("last") == F.col("n") - 1) & (F.col("slots") == F.col("n"))).alias("gapless"), F.max("bytes").alias("most"), F.min("bytes").alias("least"))
+    together = groups.crossJoin(total.select(F.col("bytes").alias("all_bytes"))).agg(F.bool_and(F.col("parts") <= 2 + F.col("group_bytes") * 24 / F.col("all_bytes")).alias("groups_together"))
+    one = total.crossJoin(largest).crossJoin(together)  # one row each
+    return one.select("rows", "bytes", "shards", "gapless", (F.col("most") - F.col("least") <= 2 * F.col("largest")).alias("near_equal"), "groups_together")
+
+
+def rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6 without the votes and what follows from them."""
+    return op6_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9's base kinds."""
+    return op9_secret_scan(spark, sf_dir).drop("spans")
+
+
+_CHECKED = (lm_base, ngram_components, shard_sizes, shard_totals, rules_base, secrets_base)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)} | {f.__name__: f for f in _CHECKED}
 
 
 #: Words, then all windows of the sizes that items need, joined by their words.
@@ -86,4 +131,12 @@ FROM words LEFT JOIN covered ON words.doc_id = covered.doc_id LEFT JOIN named ON
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": _OP4}
+    return {
+        "op4_decontamination": _OP4,
+        "lm_base": oracles.LM_BASE,
+        "ngram_components": oracles.COMPONENTS,
+        "shard_sizes": oracles.SIZES,
+        "shard_totals": oracles.SHARDS,
+        "rules_base": oracles.RULES_BASE,
+        "secrets_base": oracles.SECRETS_BASE,
+    }
