@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexquarry.operators.ranking import latest
@@ -33,18 +35,41 @@ def distinct_events(events: DataFrame, key: str, at: str = "ts", late: str = "10
     return events.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the state's versions, the oldest first."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    whole = [p.getName() for p in found if p.getName().startswith("version=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(whole)
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a state kept by :func:`fold_log`."""
+    return spark.read.parquet(f"{path}/{_versions(spark, path)[-1]}")
+
+
 def fold_log(stream: DataFrame, path: str, key: str, *order: str, checkpoint: str, once: bool = True):
-    """Keep the latest row of every key of an append-only log in the table ``path``.
+    """Keep the latest row of every key of an append-only log in the table ``path`` (see :func:`read_state`).
 
-    Each batch is merged with the state and written as a new version, named by the
-    batch, so a batch that is run again after a failure gives the same version.
+    Each batch is merged with the newest version before it and written as the next one, which is named by the
+    query and the batch, so a batch that is run again after a failure replaces its own version.  A query with a
+    new checkpoint goes on from the state that is there.  The version before the newest stays for readers;
+    older ones are deleted.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = batch
-        if number > 0:
-            rows = batch.unionByName(batch.sparkSession.read.parquet(f"{path}/version={number - 1}"))
-        latest(rows, key, *order).write.mode("overwrite").parquet(f"{path}/version={number}")
+        spark = batch.sparkSession
+        query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        found = _versions(spark, path)
+        own = [v for v in found if v.endswith(f"-{query}-{number}")]
+        before = [v for v in found if not own or v < own[0]]
+        name = own[0] if own else f"version={int(found[-1][8:20]) + 1 if found else 0:012d}-{query}-{number}"
+        rows = batch.unionByName(spark.read.parquet(f"{path}/{before[-1]}")) if before else batch
+        latest(rows, key, *order).write.mode("overwrite").parquet(f"{path}/{name}")
+        for old in before[:-1]:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{old}")
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -1,11 +1,17 @@
 """Operators on small fixtures: nulls, ties, repeats, and the folds that SQL does not express."""
 
+import difflib
+import random
 from types import SimpleNamespace
 
+import numpy as np
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexquarry.functions import chunking, text
-from lexquarry.operators import graph, joins, ranking
+from lexquarry.functions import udfs
+from lexquarry.operators import graph, joins, ranking, search, vectors
 from lexquarry.plans.relational_queries import matrix_cross_join
 
 
@@ -31,6 +37,17 @@ def test_ranks_over_ranges_equal_plain_ranks(spark):
     assert all(r["rank"] == (r.k + 1 if r.g == "a" else 1) and r["n"] == (500 if r.g == "a" else 1) for r in got) and len(got) == 501
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ranks_with_other_columns_and_null_groups(spark, reuse):
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    rows = spark.range(600_000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'a' ELSE concat('g', id % 50) END AS g", "xxhash64(id) AS k", "id AS other", "1 AS rank_of")
+    got = ranking.numbered(rows, "g", F.col("k"), F.col("other"))
+    plain = rows.withColumn("want", F.row_number().over(Window.partitionBy("g").orderBy("k", "other")))
+    both = got.join(plain.select("other", "want"), "other")
+    assert both.count() == 600_000 and both.where("rank <> want").count() == 0
+    spark.conf.unset("spark.sql.exchange.reuse")
+
+
 def test_more_than_a_thousand_groups_all_lead(spark):
     rows = spark.range(1500).selectExpr("format_string('g%04d', id) AS g", "id AS score", "id AS k")
     got = ranking.diversified(rows, "g", "score", "k", 3).collect()
@@ -67,3 +84,78 @@ def test_text_helpers(spark):
     ).first()
     assert row.n == "the fee 2 5 must see 12 ccr 345 67 and 24 4 103" and row.a.startswith("the fee 2 5 must; see")
     assert row.c == ["12 CCR 345-67"] and row.s == ["24-4-103"] and row.f.startswith("The")
+
+
+def test_components_match_union_find(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(400, k) for k in range(500, 560)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    want = {i: find(i) for e in edges if e[0] != e[1] for i in e}
+    got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == want
+
+
+def test_shared_keys_in_blocks_and_hops(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(rng.randrange(40), rng.randrange(6)) for _ in range(120)] + [(None, 1), (3, None)]
+    m = spark.createDataFrame(rows, "n long, k long")
+    keys = {}
+    for n, k in rows:
+        if n is not None and k is not None:
+            keys.setdefault(n, set()).add(k)
+    want = {(a, b): len(keys[a] & keys[b]) for a in keys for b in keys if a < b and keys[a] & keys[b]}
+    for block in (1000, 3):
+        monkeypatch.setattr(graph, "BLOCK", block)
+        assert {(r.src, r.dst): r.weight for r in graph.shared_key_edges(m, "n", "k").collect()} == want
+    start = min(keys)
+    near = {b for (a, b) in want if a == start} | {start}
+    got = {r.node: r.hops for r in graph.hops(start, m, "n", "k", 1).collect()}
+    assert got == {n: int(n != start) for n in near}
+
+
+def test_nearest_vectors_match_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(120, 8)).astype(np.float32)
+    v[7] = v[3]  # a tie
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(500, None), (501, [])]
+    df = spark.createDataFrame(rows, "id long, e array<float>").repartition(3)
+    d = v.astype(np.float64)
+    d /= np.linalg.norm(d, axis=1, keepdims=True)
+    sims = np.round(d @ d.T, 6)
+    want = {(q, k): r for q in range(0, 120, 10) for r, k in enumerate(sorted((k for k in range(120) if k != q), key=lambda k: (-sims[q, k], k))[:4], 1)}
+    for block in (4096, 5):
+        got = vectors.cosine_topk(df.where("id % 10 = 0"), df, "id", "e", 4, block).collect()
+        assert {(r.query, r.key): r["rank"] for r in got} == want
+
+
+def test_functions_of_our_own(spark):
+    pairs = [("abcd", "bcde"), ("", ""), ("x", None), ("same", "same")]
+    got = [r.s for r in spark.createDataFrame(pairs, "a string, b string").select(udfs.similarity_ratio("a", "b").alias("s")).collect()]
+    assert got == [round(difflib.SequenceMatcher(None, a, b).ratio(), 6) if b is not None else 0.0 for a, b in pairs]
+    assert udfs.repair("cafÃ©") == "café" and udfs.repair("Ãber") == "Ãber" and udfs.repair(None) is None and udfs.repair("plain") == "plain"
+    assert udfs.decode("é".encode(), None) == "é" and udfs.decode(b"\xe9", "latin-1") == "é" and udfs.decode(b"\x80", "nonsense") == "€" and udfs.decode(None, None) is None
+    ids = spark.createDataFrame([("a",), ("a",), (None,)], "n string").select(udfs.name_uuid("n").alias("u")).collect()
+    assert ids[0].u == ids[1].u and len(ids[0].u) == 36 and ids[2].u is None
+
+
+def test_requests_are_understood():
+    rules = search.Rules(expansions={"fee": ("charge",), "air quality": ("emission",)}, anchors={"fee": ("fee", "charge")}, domains={"air": ("air",), "money": ("fee",)}, preferred=(("rule", "ccr", 60),))
+    r = search.understand("What is the fee of an air quality rule?", rules)
+    assert r.terms == ("what", "fee", "air", "quality", "rule", "charge", "emission") and r.anchors == ("fee", "charge")
+    assert r.domains == ("air", "money") and r.preferred == (("ccr", 60),) and r.least == 2
+    assert search.understand("fees", rules).anchors == () and search.understand("", rules).terms == ()
+
+
+def test_search_without_hits_or_terms(spark):
+    docs = spark.createDataFrame([(1, "nothing here"), (2, None)], "id long, norm string")
+    for words in ("absent", ""):
+        assert search.score_chunks(docs, search.understand(words, search.Rules()), search.Rules()).count() == 0

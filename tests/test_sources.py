@@ -56,3 +56,37 @@ def test_upsert_and_partitioned_sink(spark, tmp_path):
     dated = got.withColumn("day", F.lit("2020-05-01").cast("date"))
     records.write_by_quarter(dated, str(tmp_path / "out"), "day")
     assert (tmp_path / "out" / "year=2020" / "quarter=2").is_dir()
+
+
+def test_optional_and_numbered_scans(spark, tmp_path):
+    schema = StructType().add("id", "string").add("n", "long")
+    assert records.read_jsonl_optional(spark, str(tmp_path / "none.jsonl"), schema).count() == 0
+    (tmp_path / "m.jsonl").write_text('{"id": "a", "n": 1}\n\nbroken\n{"id": "b", "n": 2}\n')
+    rows = records.read_manifest(spark, str(tmp_path / "m.jsonl"), schema).orderBy("line").collect()
+    assert [(r.line, r.row and r.row.id, bool(r.error)) for r in rows] == [(1, "a", False), (3, None, True), (4, "b", False)]
+    (tmp_path / "ok.jsonl").write_text('{"id": "a", "n": 1}\n\n{"id": "c", "n": 3}\n')
+    layers = records.read_layers(spark, {"x": str(tmp_path / "ok.jsonl"), "y": str(tmp_path / "gone.jsonl")}, schema)
+    assert sorted((r.id, r.layer) for r in layers.collect()) == [("a", "x"), ("c", "x")]
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("a", [1, 2]), ('b"q', None), (None, [])], "id string, l array<long>")
+    records.write_csv(rows, str(tmp_path / "csv"))
+    back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "csv")).collect()
+    assert sorted((r.id or "", r.l or "") for r in back) == [("", "[]"), ("a", "[1,2]"), ('b"q', "")]
+    old = records.write_snapshot(rows, str(tmp_path / "snap"), "1")
+    records.write_snapshot(rows.limit(1), str(tmp_path / "snap"), "2")
+    assert spark.read.json(old).count() == 3
+    path = str(tmp_path / "log")
+    for k in range(2):
+        records.append_jsonl(spark.createDataFrame([(f"r{k}",)], "id string"), path, "id string")
+    assert spark.read.json(path).count() == 2
+    records.replace_index({"t": (spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k long, v string"), ["k"])}, str(tmp_path / "index"))
+    assert spark.read.parquet(str(tmp_path / "index" / "t")).count() == 2
+
+
+def test_upsert_takes_the_last_of_repeated_and_null_keys(spark):
+    target = spark.createDataFrame([("a", 1), (None, 2), ("c", 3)], "k string, v long")
+    rows = spark.createDataFrame([("a", 10), ("a", 11), (None, 20), ("d", 30)], "k string, v long")
+    got = records.upsert(target, rows, ["k"], "v").collect()
+    assert sorted((r.k or "", r.v) for r in got) == [("", 20), ("a", 11), ("c", 3), ("d", 30)]

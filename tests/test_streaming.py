@@ -16,10 +16,15 @@ def stream(spark, tmp_path):
 
 
 def test_fold_keeps_the_latest_row(spark, stream, tmp_path):
-    ev.fold_log(stream, str(tmp_path / "state"), "key", "seq", checkpoint=str(tmp_path / "cp")).awaitTermination()
-    versions = sorted(int(p.name.split("=")[1]) for p in (tmp_path / "state").iterdir() if p.name.startswith("version"))
-    got = spark.read.parquet(str(tmp_path / "state" / f"version={versions[-1]}"))
-    assert sorted((r.key, r.seq) for r in got.collect()) == [("a", 3), ("b", 1)]
+    state = str(tmp_path / "state")
+    ev.fold_log(stream, state, "key", "seq", checkpoint=str(tmp_path / "cp")).awaitTermination()
+    assert sorted((r.key, r.seq) for r in ev.read_state(spark, state).collect()) == [("a", 3), ("b", 1)]
+    assert sum(p.name.startswith("version=") for p in (tmp_path / "state").iterdir()) <= 2
+    # a new checkpoint goes on from the state, and a log of one later row keeps the rest
+    later = spark.createDataFrame([("c", 9, ROWS[0][2])], "key string, seq long, ts timestamp")
+    later.coalesce(1).write.parquet(str(tmp_path / "more"))
+    ev.fold_log(spark.readStream.schema(later.schema).parquet(str(tmp_path / "more")), state, "key", "seq", checkpoint=str(tmp_path / "cp2")).awaitTermination()
+    assert sorted((r.key, r.seq) for r in ev.read_state(spark, state).collect()) == [("a", 3), ("b", 1), ("c", 9)]
 
 
 def _memory(spark, df, name, tmp_path, mode):
