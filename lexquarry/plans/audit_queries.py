@@ -95,6 +95,18 @@ def update_dashboard(t: Tables) -> DataFrame:
     return rows.groupBy(status.alias("status")).agg(F.count("*").alias("sources"), F.max("last").alias("last"))
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'P' AND year(o_orderdate) >= 1995")
+def failed_since(t: Tables) -> DataFrame:
+    """Manifest rows that failed for good since a year."""
+    return t.orders.where("o_orderstatus = 'P' AND o_orderdate >= DATE'1995-01-01'").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE year(o_orderdate) IN (1994, 1996) AND o_orderpriority IN ('1-URGENT', '5-LOW')")
+def queue_selection(t: Tables) -> DataFrame:
+    """Queue rows of chosen years and categories."""
+    return t.orders.where(F.year("o_orderdate").isin(1994, 1996) & F.col("o_orderpriority").isin("1-URGENT", "5-LOW")).select("o_orderkey")
+
+
 @query("""SELECT lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1)) AS host, count(*)::BIGINT AS n FROM pages WHERE page_id % 3 = 0 GROUP BY 1 ORDER BY n DESC, host LIMIT 10""")
 def failure_hosts(t: Tables) -> DataFrame:
     """The ten hosts with most permanent failures."""
@@ -145,13 +157,13 @@ def readiness_gates(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT n_name, seg AS category, count(c_custkey)::BIGINT AS evidence FROM (SELECT n_nationkey, n_name, seg FROM nation, (SELECT DISTINCT c_mktsegment AS seg FROM customer)) LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_nationkey = n_nationkey AND c_mktsegment = seg GROUP BY 1, 2 HAVING count(c_custkey) < 3""")
+SELECT n_name, seg AS category, count(c_custkey)::BIGINT AS evidence FROM (SELECT n_nationkey, n_name, seg FROM nation, (SELECT DISTINCT c_mktsegment AS seg FROM customer)) LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_nationkey = n_nationkey AND c_mktsegment = seg GROUP BY 1, 2 HAVING count(c_custkey) < 12""")
 def gap_records(t: Tables) -> DataFrame:
-    """Cells of the matrix of places and categories with less evidence than three."""
+    """Cells of the matrix of places and categories with less evidence than twelve."""
     cells = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name").crossJoin(t.customer.select("c_mktsegment").distinct())  # 25 nations by the segments, a code list
     have = t.customer.where("c_acctbal > 0").groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
     rows = cells.join(have, ["c_nationkey", "c_mktsegment"], "left").select("n_name", F.col("c_mktsegment").alias("category"), F.coalesce("n", F.lit(0)).cast("long").alias("evidence"))
-    return rows.where("evidence < 3")
+    return rows.where("evidence < 12")
 
 
 @query("""

@@ -117,6 +117,12 @@ def append_jsonl(df: DataFrame, path: str, schema: StructType | str) -> None:
     df.write.mode("append").json(path)
 
 
+def write_object(df: DataFrame, path: str) -> None:
+    """A summary of one row as one indented JSON object in a file of that name's folder."""
+    whole = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"pretty": "true"})
+    df.limit(1).select(whole.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def replace_index(tables: dict[str, tuple[DataFrame, list[str]]], folder: str) -> None:
     """Write every table of an index anew, one row for each key."""
     for name, (df, keys) in tables.items():
