@@ -125,3 +125,16 @@ def test_cover_holds_all_places():
         places = [x for a, n in own for x in range(a, a + n)]
         assert set(places) == {x for a, n in spans for x in range(a, a + n)}
         assert all(places.count(x) <= 2 for x in places)
+
+
+def test_null_ids_clashing_names_and_long_texts(spark):
+    passage = "\n".join(f"shared line {k} " + "word " * 12 for k in range(6))
+    docs = [(None, passage + "\nown end"), (1, "own start\n" + passage), (2, None), (3, ""), (4, "x" * 3_000_000 + "\n" + passage), (4, "x" * 3_000_000 + "\n" + passage)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS key", "2 AS lines", "'r' AS runs", "3 AS chunk", "4 AS line", "5 AS n").repartition(3)
+    got = sorted(((r.doc_id, r.n_removed, r.text) for r in ld.remove_repeated_passages(df).collect()), key=str)
+    by = {}
+    for d, n, text in got:
+        by.setdefault(d, []).append((n, text))
+    assert by[None] == [(0, docs[0][1])]  # a null id sorts first and keeps the passage
+    assert by[1] == [(6, "own start")] and by[2] == [(0, None)] and by[3] == [(0, "")]
+    assert by[4] == [(6, "x" * 3_000_000)] * 2

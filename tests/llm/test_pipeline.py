@@ -72,3 +72,14 @@ def test_empty_table(spark, planted, tmp_path):
     spark.read.parquet(f"{planted[0]}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{planted[0]}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_null_ids_stay_apart(spark, planted, tmp_path):
+    texts = [" ".join(f"{name}{k} the and of with" for k in range(12)) for name in ("fire", "water", "earth")]
+    rows = [(None, t, "en", "s1", 1, "k") for t in texts] + [(None, texts[0], "en", "s1", 1, "k"), (5, texts[0] + " more", "en", "s2", 1, "k")]
+    spark.createDataFrame(rows, DOC_SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{planted[0]}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.text.split()[0] for r in kept) == ["earth0", "fire0", "water0"]
+    assert corpus_pipeline.run(spark, str(tmp_path)).select("size").distinct().count() >= 2
