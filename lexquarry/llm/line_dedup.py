@@ -34,7 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.llm import _text as tx
-from lexquarry.scratch import save
+from lexquarry.llm._bloom import may_hold
+from lexquarry.llm._skew import join_groups
+from lexquarry.scratch import drop, save
 
 WINDOW = 2
 MASK = np.uint64(3)
@@ -328,19 +330,21 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """``key, line, n``: the runs of lines to remove, after comparison of bytes."""
     rows = save(_keyed(docs).mapInArrow(_passage_rows, "key long, doc_id long, line int, n int, chunk long"), "runs")
     place = F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "key", "line")
-    firsts = rows.groupBy("chunk").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("chunk", "low")
+    firsts = rows.groupBy("chunk").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("rows")).where("low <> high").select("chunk", "low", "rows")
     later = (
-        rows.join(firsts, "chunk")
+        join_groups(rows, firsts, ["chunk"], "rows")
         .where((place != F.col("low")) & ((F.col("key") != F.col("low.key")) | (F.col("line") >= F.col("low.line") + F.col("n"))))
         .select("key", "line", "n", F.col("low.key").alias("first_key"), F.col("low.line").alias("first_line"))
     )
     # hits of each document: at most its own chunks and two runs a line
     hits = later.groupBy("key").agg(F.collect_set(F.struct("line", "n", "first_key", "first_line")).alias("hits"))
     covers = save(hits.mapInArrow(_covers, "key long, line int, n int, first_key long, first_line int"), "covers")
+    drop(rows)
     ends = covers.select("key", "line", "n").unionAll(covers.select(F.col("first_key").alias("key"), F.col("first_line").alias("line"), "n"))
-    wanted = ends.groupBy("key").agg(F.collect_set(F.struct("line", "n")).alias("runs"))
+    wanted = save(ends.groupBy("key").agg(F.collect_set(F.struct("line", "n")).alias("runs")), "wanted")
     # by sorting on the key at every size: the wanted runs have no bound for a broadcast
-    texts = _keyed(docs).hint("merge").join(wanted, "key").select("key", "text", "runs")
+    among = may_hold(wanted, "key")
+    texts = _keyed(docs).where(among("key")).hint("merge").join(wanted, "key").select("key", "text", "runs")
     found = save(texts.mapInArrow(_passage_bytes, "key long, line int, n int, bytes binary").dropDuplicates(["key", "line", "n"]), "bytes")
     first = found.select(F.col("key").alias("first_key"), F.col("line").alias("first_line"), "n", F.col("bytes").alias("first_bytes"))
     both = covers.join(found, ["key", "line", "n"]).join(first, ["first_key", "first_line", "n"])
@@ -348,6 +352,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeated_passages(docs: DataFrame) -> DataFrame:
-    """Per row: ``doc_id, n_lines, n_removed`` and the ``text`` that is left, without repeated chunks and passages."""
+    """Per row: ``doc_id, n_lines, n_removed`` and the ``text`` that is left, without repeated chunks and passages.
+
+    Texts that surely keep all their lines are not shuffled.
+    """
     gone = save(repeated_passages(docs).groupBy("key").agg(F.collect_set(F.struct("line", "n")).alias("runs")), "gone")
-    return _keyed(docs).hint("merge").join(gone, "key", "left").select("doc_id", "text", "runs").mapInArrow(_without_passages, "doc_id long, n_lines long, n_removed long, text string")
+    among = may_hold(gone, "key")
+    texts = _keyed(docs)
+    whole = texts.where(~among("key")).select("doc_id", "text", F.lit(None).cast(gone.schema["runs"].dataType).alias("runs"))
+    cut = texts.where(among("key")).hint("merge").join(gone, "key", "left").select("doc_id", "text", "runs")
+    return whole.unionByName(cut).mapInArrow(_without_passages, "doc_id long, n_lines long, n_removed long, text string")
