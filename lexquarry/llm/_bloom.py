@@ -31,3 +31,12 @@ def may_hold(keys: DataFrame, key: str) -> Callable[[Column | str], Column]:
         return pd.Series((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1)
 
     return F.pandas_udf(test, BooleanType())
+
+
+def without_keys(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``rows.join(gone, key, "left_anti")`` in which only rows that may go are shuffled.
+
+    Both tables are read twice: ``gone`` should be a saved one.
+    """
+    among = may_hold(gone, key)
+    return rows.where(~among(key)).unionByName(rows.where(among(key)).join(gone, key, "left_anti"))

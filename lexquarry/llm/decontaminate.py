@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexquarry.llm import _text as tx
+from lexquarry.llm._bloom import without_keys
 from lexquarry.scratch import save
 
 SPAN = 13
@@ -212,6 +213,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, share: int = 20) -> Dat
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, share: int = 20) -> DataFrame:
     """``docs`` without its contaminated rows, columns unchanged."""
-    found = contamination(docs, benchmark, share).where("contaminated").select(F.col("key").alias("__lexquarry_key")).distinct()
+    found = save(contamination(docs, benchmark, share).where("contaminated").select(F.col("key").alias("__lexquarry_key")).distinct(), "contaminated")
     keyed = docs.withColumn("__lexquarry_key", F.xxhash64("doc_id", "text"))
-    return keyed.join(found, "__lexquarry_key", "left_anti").drop("__lexquarry_key")
+    return without_keys(keyed, found, "__lexquarry_key").drop("__lexquarry_key")

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.llm import _text as tx
+from lexquarry.llm._bloom import without_keys
 from lexquarry.llm._skew import join_groups
 from lexquarry.scratch import save
 
@@ -272,5 +273,5 @@ def identify_corpus(docs: DataFrame, pages: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that no language claims."""
     found = identify(document_columns(docs), fit_profiles(docs), ["key"], "text", "declared", "suffix", "host")
-    gone = found.where("rejected").select(F.col("key").alias("__lexquarry_key")).distinct()
-    return docs.withColumn("__lexquarry_key", F.xxhash64("doc_id", "text")).join(gone, "__lexquarry_key", "left_anti").drop("__lexquarry_key")
+    gone = save(found.where("rejected").select(F.col("key").alias("__lexquarry_key")).distinct(), "rejected")
+    return without_keys(docs.withColumn("__lexquarry_key", F.xxhash64("doc_id", "text")), gone, "__lexquarry_key").drop("__lexquarry_key")
