@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexquarry.llm import oracles
 from lexquarry.llm.decontaminate import contamination
+from lexquarry.llm.fill_middle import digests, fill_in_middle
 from lexquarry.llm.jaccard_join import similar_documents
 from lexquarry.llm.language_id import identify_corpus
 from lexquarry.llm.line_dedup import remove_repeated_passages
@@ -64,6 +65,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(fill_in_middle(_table(spark, sf_dir, "documents")))
+
+
 # ---- what SQL can check of the operators' results ----------------------------
 
 
@@ -104,11 +109,15 @@ def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_secret_scan(spark, sf_dir).drop("spans")
 
 
+_OPERATORS = (
+    op1_lm_scoring, op2_ngram_jaccard_join, op3_language_id, op4_decontamination, op5_sharding, op6_quality_rules, op7_source_mixing,
+    op8_quality_classifier, op9_secret_scan, op10_line_dedup, op13_fill_middle,
+)
 _CHECKED = (lm_base, ngram_components, shard_sizes, shard_totals, rules_base, secrets_base)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)} | {f.__name__: f for f in _CHECKED}
+    return {f.__name__: f for f in (*_OPERATORS, *_CHECKED)}
 
 
 #: Words, then all windows of the sizes that items need, joined by their words.
@@ -133,6 +142,7 @@ FROM words LEFT JOIN covered ON words.doc_id = covered.doc_id LEFT JOIN named ON
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_decontamination": _OP4,
+        "op13_fill_middle": oracles.FILL_MIDDLE,
         "lm_base": oracles.LM_BASE,
         "ngram_components": oracles.COMPONENTS,
         "shard_sizes": oracles.SIZES,
