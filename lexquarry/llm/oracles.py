@@ -68,3 +68,12 @@ f AS (SELECT *, len(w) AS n, least(k[1] % (len(w) + 1), k[2] % (len(w) + 1)) AS
 p AS (SELECT *, array_to_string(w[1:a], '') AS pre, array_to_string(w[a + 1:b], '') AS mid, array_to_string(w[b + 1:], '') AS suf FROM f)
 SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+HARD_NEGATIVES = """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, a.label = b.label AS same, a.r = b.r AS own, b.r, b.vec_id, list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score FROM e a JOIN e b ON a.vec_id % 100 = 0),
+p AS (SELECT ar, anchor_id, r AS pr, vec_id AS positive_id, score AS positive_score FROM s WHERE same AND NOT own QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.ar, pr ORDER BY score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexquarry.llm import oracles
 from lexquarry.llm.decontaminate import contamination
 from lexquarry.llm.fill_middle import digests, fill_in_middle
+from lexquarry.llm.hard_negatives import mine, quantised
 from lexquarry.llm.jaccard_join import similar_documents
 from lexquarry.llm.language_id import identify_corpus
 from lexquarry.llm.line_dedup import remove_repeated_passages
@@ -65,6 +66,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def hard_negatives(vectors: DataFrame) -> DataFrame:
+    """op11 of a table of vectors: labels of ids divisible by 7 are moved on first, and ids divisible by 100 are anchors."""
+    own = vectors.select("vec_id", quantised("embedding").alias("v"), F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return mine(own, F.col("vec_id") % 100 == 0, vector="v")
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(fill_in_middle(_table(spark, sf_dir, "documents")))
 
@@ -111,7 +122,7 @@ def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OPERATORS = (
     op1_lm_scoring, op2_ngram_jaccard_join, op3_language_id, op4_decontamination, op5_sharding, op6_quality_rules, op7_source_mixing,
-    op8_quality_classifier, op9_secret_scan, op10_line_dedup, op13_fill_middle,
+    op8_quality_classifier, op9_secret_scan, op10_line_dedup, op11_hard_negatives, op13_fill_middle,
 )
 _CHECKED = (lm_base, ngram_components, shard_sizes, shard_totals, rules_base, secrets_base)
 
@@ -142,6 +153,7 @@ FROM words LEFT JOIN covered ON words.doc_id = covered.doc_id LEFT JOIN named ON
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_decontamination": _OP4,
+        "op11_hard_negatives": oracles.HARD_NEGATIVES,
         "op13_fill_middle": oracles.FILL_MIDDLE,
         "lm_base": oracles.LM_BASE,
         "ngram_components": oracles.COMPONENTS,

@@ -10,7 +10,7 @@ from lexquarry.llm import registry
 def test_same_rows(spark, name):
     folder = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     got = registry.queries()[name](spark, folder)
     want = con.sql(registry.oracle_sql()[name])
