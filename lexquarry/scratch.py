@@ -53,13 +53,19 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_BATCH_SETTING, before)
 
 
+def new_path(spark: SparkSession, label: str = "step") -> str:
+    """A path in the shared folder that nothing uses yet; :func:`clear` deletes what is written there."""
+    path = f"{shared_dir(spark)}/lexquarry-{label}-{uuid.uuid4().hex}"
+    _written[path] = spark
+    return path
+
+
 def save(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lexquarry-{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     with small_batches(spark):
         df.write.parquet(path)
-    _written[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     _path_of[out] = path
     return out
