@@ -77,3 +77,9 @@ p AS (SELECT ar, anchor_id, r AS pr, vec_id AS positive_id, score AS positive_sc
 SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 80 * positive_score <= 100 * score AND score <= positive_score
 WINDOW w AS (PARTITION BY p.ar, pr ORDER BY score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5"""
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS b FROM pages),
+d AS (SELECT page_id, strlen(b)::BIGINT AS payload_bytes, sha1(b) AS h, row_number() OVER w AS k, first_value(page_id) OVER w AS best FROM p WINDOW w AS (PARTITION BY b ORDER BY page_id DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (i // 4 * 5 + 1)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN best END AS refers_to FROM d"""

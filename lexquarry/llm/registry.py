@@ -20,6 +20,8 @@ from lexquarry.llm.quality_classifier import classify_documents
 from lexquarry.llm.quality_rules import judge
 from lexquarry.llm.secrets import find_secrets
 from lexquarry.llm.shard import assign_shards
+from lexquarry.llm.warc import read_archives, write_archives
+from lexquarry.scratch import new_path, save
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +78,18 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(_table(spark, sf_dir, "embeddings"))
 
 
+def archived_pages(pages: DataFrame) -> DataFrame:
+    """op12 of a table of pages: archives are written to the shared folder and read back."""
+    folder = new_path(pages.sparkSession, "warc")
+    write_archives(pages, folder, "page_id", "url", "html")
+    records = read_archives(pages.sparkSession, folder, payloads=False)
+    return save(records.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "record_id", "archive", "offset"), "records")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(_table(spark, sf_dir, "pages")).drop("url", "record_id", "archive", "offset")
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(fill_in_middle(_table(spark, sf_dir, "documents")))
 
@@ -122,7 +136,7 @@ def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OPERATORS = (
     op1_lm_scoring, op2_ngram_jaccard_join, op3_language_id, op4_decontamination, op5_sharding, op6_quality_rules, op7_source_mixing,
-    op8_quality_classifier, op9_secret_scan, op10_line_dedup, op11_hard_negatives, op13_fill_middle,
+    op8_quality_classifier, op9_secret_scan, op10_line_dedup, op11_hard_negatives, op12_warc, op13_fill_middle,
 )
 _CHECKED = (lm_base, ngram_components, shard_sizes, shard_totals, rules_base, secrets_base)
 
@@ -154,6 +168,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_decontamination": _OP4,
         "op11_hard_negatives": oracles.HARD_NEGATIVES,
+        "op12_warc": oracles.WARC,
         "op13_fill_middle": oracles.FILL_MIDDLE,
         "lm_base": oracles.LM_BASE,
         "ngram_components": oracles.COMPONENTS,

@@ -16,6 +16,6 @@ def test_same_rows(spark, name):
     want = con.sql(registry.oracle_sql()[name])
     assert sorted(got.columns) == sorted(want.columns)
     order = sorted(got.columns)
-    a = sorted(tuple(r[c] for c in order) for r in got.collect())
-    b = sorted(tuple(dict(zip(want.columns, r, strict=True))[c] for c in order) for r in want.fetchall())
+    a = sorted((tuple(r[c] for c in order) for r in got.collect()), key=repr)
+    b = sorted((tuple(dict(zip(want.columns, r, strict=True))[c] for c in order) for r in want.fetchall()), key=repr)
     assert a == b
