@@ -103,3 +103,8 @@ def ladder(*steps: tuple[Column, object], otherwise: object = None) -> Column:
     """The value of the first condition that holds."""
     (first, value), *rest = steps
     return reduce(lambda c, s: c.when(s[0], s[1]), rest, F.when(first, value)).otherwise(otherwise)
+
+
+def all_but_first(parts: Column) -> Column:
+    """The items of an array behind the first."""
+    return F.filter(parts, lambda x, i: i > 0)

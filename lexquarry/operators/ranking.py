@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,20 +70,22 @@ def stride_sample(df: DataFrame, group: str, order: str, target: int) -> DataFra
 def budget_pick(df: DataFrame, group: str, order: str, cost: str, budget: int) -> DataFrame:
     """Rows of each group taken in order while they fit the budget; those that do not fit are skipped, not the end.
 
-    Ties in the order go by cost.  Groups stream through sorted partitions: only the group at hand and
-    what is left of its budget are held, whatever a group's size.
+    Ties in the order go by cost; null is a group too; a row without a cost is not kept.  The rule is greedy, so
+    a group is read in one task, but as a stream: only what is left of its budget is held, whatever its size.
     """
 
-    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, left = None, budget
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = budget
         for batch in batches:
             kept = []
-            for g, x in zip(batch[group], batch[cost], strict=True):
-                if g != now:
-                    now, left = g, budget
-                kept.append(x <= left)
-                left -= x if x <= left else 0
-            yield batch.assign(kept=kept)
+            for opens, x in zip(batch.column("_opens").to_pylist(), batch.column(cost).to_pylist(), strict=True):
+                left = budget if opens else left
+                fits = x is not None and x <= left
+                kept.append(fits)
+                left -= x if fits else 0
+            columns = [c for c in batch.schema.names if c != "_opens"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(kept, pa.bool_())], names=[*columns, "kept"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", kept boolean"
-    return df.repartition(group).sortWithinPartitions(group, order, cost).mapInPandas(pick, schema)
+    opens = F.row_number().over(Window.partitionBy(group).orderBy(order, cost)) == 1  # its sort is the order in which rows stream on
+    return df.withColumn("_opens", opens).mapInArrow(pick, schema)

@@ -310,7 +310,7 @@ WITH b AS (SELECT s_suppkey, unnest(string_split({_TABLE}, '<h2>')[2:]) AS block
 SELECT s_suppkey, kind, replace(c[1], ' ', '_') AS rule, c[2] AS title, CASE WHEN kind = 'Proposed' THEN c[3] END AS hearing, CASE WHEN kind = 'Adopted' THEN c[3] END AS effective FROM c WHERE len(c) >= 3 AND regexp_matches(c[1], '^\\d+ CCR ')""")
 def register_table(t: Tables) -> DataFrame:
     """Rows of three cells with a citation as notices under the heading above them; the date goes by the kind of notice."""
-    b = t.supplier.select("s_suppkey", F.explode(F.slice(F.split(F.expr(_TABLE), "<h2>"), 2, 1000)).alias("block"))
+    b = t.supplier.select("s_suppkey", F.explode(text.all_but_first(F.split(F.expr(_TABLE), "<h2>"))).alias("block"))
     r = b.select("s_suppkey", F.regexp_extract("block", "^([^<]*)", 1).alias("kind"), F.explode(F.regexp_extract_all("block", F.lit("<tr>(.*?)</tr>"), F.lit(1))).alias("row"))
     c = r.select("s_suppkey", "kind", F.regexp_extract_all("row", F.lit("<td>([^<]*)</td>"), F.lit(1)).alias("c")).where((F.size("c") >= 3) & F.get("c", F.lit(0)).rlike(r"^\d+ CCR "))
     cell = lambda k: F.get("c", F.lit(k))
@@ -377,7 +377,7 @@ def structure_tree(t: Tables) -> DataFrame:
     lines = t.part.select("p_partkey", F.posexplode(F.split(F.expr(_PARTED), "\n")).alias("i", "line"))
     last = lambda c, v: F.last(F.when(c, v), ignorenulls=True).over(so_far)
     x = F.col("line")
-    r = lines.withColumns({"part": last(x.startswith("PART "), F.substring("line", 6, 50)), "section": last(x.rlike(r"^\d+[.]\d+ "), F.regexp_extract("line", r"^(\d+[.]\d+)", 1))})
+    r = lines.withColumns({"part": last(x.startswith("PART "), F.expr("substring(line, 6)")), "section": last(x.rlike(r"^\d+[.]\d+ "), F.regexp_extract("line", r"^(\d+[.]\d+)", 1))})
     return r.where(x.rlike(r"^\([a-z]\) ")).select(
         "p_partkey", "part", "section", F.regexp_extract("line", r"^\(([a-z])\)", 1).alias("subsection"), F.regexp_extract("line", r"^\([a-z]\) (.*)$", 1).alias("body"), F.col("i").cast("long").alias("line")
     )

@@ -129,7 +129,7 @@ def clean_sections(t: Tables) -> DataFrame:
     """Sections without page numbers, footers and lines of definition."""
     so_far = Window.partitionBy("s_suppkey").orderBy("i")  # the lines of one text
     lines = t.supplier.select("s_suppkey", F.posexplode(F.split(F.expr(LAW), "\n")).alias("i", "line"))
-    head = F.last(F.when(F.col("line").startswith("#### "), F.substring("line", 6, 100)), ignorenulls=True).over(so_far)
+    head = F.last(F.when(F.col("line").startswith("#### "), F.expr("substring(line, 6)")), ignorenulls=True).over(so_far)
     noise = F.col("line").rlike(r"^\d+$") | (F.col("line") == "Page footer") | F.lower("line").rlike("^(definitions|purpose|authority)") | F.col("line").startswith("#### ")
     kept = lines.withColumn("section", head).where(~noise)
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), " ")
@@ -141,7 +141,7 @@ NUMBERED = """concat('1 An act\n2 concerning things\n', s_suppkey, ' parts are c
 
 @query(f"""
 WITH l AS (SELECT s_suppkey, string_split({NUMBERED}, chr(10)) AS s FROM supplier), n AS (SELECT s_suppkey, i, s[i] AS line, TRY_CAST(regexp_extract(s[i], '^(\\d{{1,3}}) ', 1) AS INT) AS k FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM l)),
- p AS (SELECT *, max(k) FILTER (k IS NOT NULL AND i <> 3) OVER w AS best, lag(k) OVER (PARTITION BY s_suppkey ORDER BY i) AS before1, lag(k, 2) OVER (PARTITION BY s_suppkey ORDER BY i) AS before2, lead(k) OVER (PARTITION BY s_suppkey ORDER BY i) AS after1 FROM n WINDOW w AS (PARTITION BY s_suppkey ORDER BY i))
+ p AS (SELECT *, lag(k) OVER (PARTITION BY s_suppkey ORDER BY i) AS before1, lag(k, 2) OVER (PARTITION BY s_suppkey ORDER BY i) AS before2, lead(k) OVER (PARTITION BY s_suppkey ORDER BY i) AS after1 FROM n)
 SELECT s_suppkey, i - 1 AS pos, CASE WHEN k <= 200 AND (k = coalesce(before1, before2, 0) + 1 OR k = 1 OR k + 1 = after1) THEN regexp_replace(line, '^\\d{{1,3}} ', '') ELSE line END AS line FROM p""")
 def unnumbered_lines(t: Tables) -> DataFrame:
     """Lines without the numbers a printer gave them: those that go on from the number before, start anew or lead to the next."""
@@ -173,7 +173,7 @@ SELECT p_partkey, number, body, CASE WHEN regexp_matches(lower(body), '\\bis (he
   WHEN regexp_matches(lower(body), '\\bnew (article|part|section)\\b') THEN 'new' ELSE 'other' END AS action, array_to_string(regexp_extract_all(body, '{legal.CRS}'), '|') AS refs FROM h""")
 def bill_sections(t: Tables) -> DataFrame:
     """Numbered sections of bills with what they do and cite."""
-    q = _bill(t).select("p_partkey", F.explode(F.slice(F.split("x", "\nSECTION "), 2, 10_000)).alias("q"))
+    q = _bill(t).select("p_partkey", F.explode(text.all_but_first(F.split("x", "\nSECTION "))).alias("q"))
     h = q.select("p_partkey", F.regexp_extract("q", r"^(\d+)\.", 1).cast("long").alias("number"), F.trim(F.regexp_replace("q", r"^\d+\.", "")).alias("body"))
     return h.select("*", units.section_action(F.col("body")).alias("action"), F.array_join(F.regexp_extract_all("body", F.lit(legal.CRS), F.lit(0)), "|").alias("refs"))
 
@@ -243,12 +243,12 @@ def definitions(t: Tables) -> DataFrame:
 
 # ---- quality of texts -------------------------------------------------------
 
-_BROKEN = "CASE page_id % 3 WHEN 0 THEN concat(substring(html, 1, 200), chr(65533)) WHEN 1 THEN concat(substring(html, 1, 200), 'Ã©Ã¨', chr(65533)) ELSE substring(html, 1, 200) END"
+_BROKEN = "CASE page_id % 3 WHEN 0 THEN concat(html, chr(65533)) WHEN 1 THEN concat(html, 'Ã©Ã¨', chr(65533)) ELSE html END"
 
 
 @query(f"WITH b AS (SELECT page_id, {_BROKEN} AS x FROM pages) SELECT page_id, length(x) - length(replace(x, chr(65533), '')) AS replaced, len(regexp_extract_all(x, 'Ã[©¨]'))::BIGINT AS garbled FROM b")
 def text_markers(t: Tables) -> DataFrame:
-    """Signs of texts read in the wrong encoding."""
+    """Signs of texts read in the wrong encoding, wherever they stand in a page."""
     x = F.expr(_BROKEN.replace("chr(65533)", "'�'"))
     return t.pages.select("page_id", x.alias("x")).select("page_id", (F.length("x") - F.length(F.replace("x", F.lit("�"), F.lit("")))).cast("long").alias("replaced"), F.regexp_count("x", F.lit("Ã[©¨]")).cast("long").alias("garbled"))
 

@@ -118,9 +118,11 @@ def append_jsonl(df: DataFrame, path: str, schema: StructType | str) -> None:
 
 
 def write_object(df: DataFrame, path: str) -> None:
-    """A summary of one row as one indented JSON object in a file of that name's folder."""
+    """A summary of one row as one indented JSON object in a file of that name's folder; more rows are an error, none writes no object."""
+    if len(df.limit(2).collect()) > 1:
+        raise ValueError("an object is written of one row")
     whole = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"pretty": "true"})
-    df.limit(1).select(whole.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    df.select(whole.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def replace_index(tables: dict[str, tuple[DataFrame, list[str]]], folder: str) -> None:

@@ -159,3 +159,30 @@ def test_search_without_hits_or_terms(spark):
     docs = spark.createDataFrame([(1, "nothing here"), (2, None)], "id long, norm string")
     for words in ("absent", ""):
         assert search.score_chunks(docs, search.understand(words, search.Rules()), search.Rules()).count() == 0
+
+
+def test_budget_keeps_null_groups_large_keys_and_null_costs(spark):
+    rows = [(None, 1, 40), (None, 2, 40), (None, 3, 10), (7, 1, 40), (7, 2, 40), (7, 3, 10), (7, 4, None)]
+    rows += [((1 << 53) + 1, 1, 60), ((1 << 53) + 2, 1, 60)]
+    got = ranking.budget_pick(spark.createDataFrame(rows, "g long, at long, cost long"), "g", "at", "cost", 64).collect()
+    want = {(None, 1), (None, 3), (7, 1), (7, 3), ((1 << 53) + 1, 1), ((1 << 53) + 2, 1)}
+    assert {(r.g, r.at) for r in got if r.kept} == want and len(got) == len(rows)
+
+
+def test_budget_of_a_group_with_half_of_all_rows(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("g"), "id", (F.col("id") % 90 + 1).alias("cost"))
+    got = {(r.g, r.id) for r in ranking.budget_pick(df, "g", "id", "cost", 64).where("kept").collect()}
+    want, left = set(), {}
+    for i in range(40_000):
+        g = 1 if i % 2 == 0 else i
+        if i % 90 + 1 <= left.setdefault(g, 64):
+            left[g] -= i % 90 + 1
+            want.add((g, i))
+    assert got == want
+
+
+def test_no_item_behind_the_first_is_lost(spark):
+    from lexquarry.functions import text
+
+    df = spark.createDataFrame([("a" + "|b" * 10_001,), ("a",), ("",), (None,)], "x string")
+    assert [r.n for r in df.select(F.size(text.all_but_first(F.split("x", r"\|"))).alias("n")).collect()][:3] == [10_001, 0, 0]
