@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from lexquarry.functions.text import first_present
 from lexquarry.operators.ranking import numbered
+from lexquarry.sources.published import Table, Version, publish
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -125,10 +126,10 @@ def write_object(df: DataFrame, path: str) -> None:
     df.select(whole.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
-def replace_index(tables: dict[str, tuple[DataFrame, list[str]]], folder: str) -> None:
-    """Write every table of an index anew, one row for each key."""
-    for name, (df, keys) in tables.items():
-        df.dropDuplicates(keys).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+def replace_index(tables: dict[str, tuple[DataFrame, list[str]]], folder: str) -> Version:
+    """Replace all tables of an index in one step, one row for each key; returns the new version (see :mod:`lexquarry.sources.published`)."""
+    spark = next(iter(tables.values()))[0].sparkSession
+    return publish(spark, folder, {name: Table(df, tuple(keys)) for name, (df, keys) in tables.items()}, carry=False)
 
 
 def write_by_quarter(df: DataFrame, path: str, date: str) -> None:
