@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from lexquarry.functions import udfs
 from lexquarry.operators.vectors import cosine_topk
 from lexquarry.plans.registry import Tables, query
-from lexquarry.scratch import save, shared_dir
+from lexquarry.scratch import new_path, save
 from lexquarry.sources.records import write_csv
 from lexquarry.streaming import events
 
@@ -59,7 +58,7 @@ def repaired_texts(t: Tables) -> DataFrame:
 def _streamed(t: Tables, name: str, make) -> DataFrame:
     """What a stream over the events has put out when it has read all there is."""
     source = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
-    folder = f"{shared_dir(t.spark)}/stream-{name}-{uuid.uuid4().hex}"
+    folder = new_path(t.spark, f"stream-{name}")
     out = make(source)
     out.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/log").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.schema(out.schema).parquet(f"{folder}/out")
@@ -93,7 +92,7 @@ WITH l AS (SELECT l_orderkey, list(l_partkey ORDER BY l_partkey) AS parts FROM l
 def csv_roundtrip(t: Tables) -> DataFrame:
     """Lists written to CSV as JSON and read again."""
     lists = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("parts"))  # the lines of one order
-    path = f"{shared_dir(t.spark)}/csv-{uuid.uuid4().hex}"
+    path = new_path(t.spark, "csv")
     write_csv(lists, path)
     back = t.spark.read.option("header", True).option("escape", '"').schema("l_orderkey long, parts string").csv(path)
     return back.select("l_orderkey", F.size(F.from_json("parts", "array<long>")).cast("long").alias("n"), "parts")

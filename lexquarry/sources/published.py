@@ -7,7 +7,7 @@ once and then read folders that nothing writes to; a failure before the move lea
 old tables in force.  Folders that no pointer inside the grace names are deleted by
 :func:`sweep`.
 
-    folder/pointers/00000007.json      {"tables": {"docs": {"path": "versions/00000007-ab12/docs", "schema": ...}}}
+    folder/pointers/00000007.json      {"tables": {"docs": {"paths": ["versions/00000007-ab12/docs"], "schema": ...}}}
     folder/versions/00000007-ab12/docs/part-...
 """
 
@@ -17,7 +17,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -56,12 +56,15 @@ class Version:
     folder: str
     number: int
     tables: dict[str, dict]
+    note: dict = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(StructType.fromJson(self.tables[name]["schema"])).parquet(self.path(name))
+        return self.read(name, self.tables[name]["paths"])
 
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{self.tables[name]['path']}"
+    def read(self, name: str, paths: list[str]) -> DataFrame:
+        """Some of the folders of a table."""
+        schema = StructType.fromJson(self.tables[name]["schema"])
+        return self.spark.read.schema(schema).parquet(*(f"{self.folder}/{p}" for p in paths)) if paths else self.spark.createDataFrame([], schema)
 
 
 class _Files:
@@ -108,7 +111,8 @@ def _pointers(files: _Files) -> dict[int, float]:
 
 
 def _load(spark: SparkSession, files: _Files, number: int) -> Version:
-    return Version(spark, files.folder, number, json.loads(files.read(f"pointers/{number:08d}.json"))["tables"])
+    held = json.loads(files.read(f"pointers/{number:08d}.json"))
+    return Version(spark, files.folder, number, held["tables"], held.get("note", {}))
 
 
 def current(spark: SparkSession, folder: str) -> Version:
@@ -118,53 +122,58 @@ def current(spark: SparkSession, folder: str) -> Version:
     return _load(spark, files, max(found)) if found else Version(spark, files.folder, 0, {})
 
 
+def draft(before: Version) -> str:
+    """A folder, relative to the publication's, for the tables of the version after ``before``."""
+    return f"versions/{before.number + 1:08d}-{uuid.uuid4().hex}"
+
+
+def point(before: Version, home: str, tables: dict[str, dict], note: dict | None = None) -> Version:
+    """Make ``tables`` (paths relative to the folder, and schemas) the version after ``before``; Conflict if there is one."""
+    files = _Files(before.spark, before.folder)
+    number = before.number + 1
+    files.write(f"{home}/pointer.json", json.dumps({"tables": tables, "note": note or {}}))
+    if not files.listed("pointers"):
+        files._fs.mkdirs(files.path("pointers"))
+    files.move(f"{home}/pointer.json", f"pointers/{number:08d}.json")
+    return Version(before.spark, before.folder, number, tables, note or {})
+
+
 def publish(spark: SparkSession, folder: str, tables: dict[str, Table], after: Version | None = None, carry: bool = True) -> Version:
     """Write all ``tables`` and then make them the current version, with (``carry``) the other tables of the version before.
 
     ``after`` is the version that the caller read from; if another one has been published since, or is published
     meanwhile, nothing changes and Conflict is raised.
     """
-    files = _Files(spark, folder)
     before = current(spark, folder)
     if after is not None and after.number != before.number:
         raise Conflict(f"version {before.number} has been published after {after.number}")
-    number = before.number + 1
-    home = f"versions/{number:08d}-{uuid.uuid4().hex}"
-    named = dict(before.tables) if carry else {}
+    home, named = draft(before), dict(before.tables) if carry else {}
     for name, table in tables.items():
         rows = table.first_of_keys()
-        table.laid_out(rows).parquet(f"{files.folder}/{home}/{name}")
-        named[name] = {"path": f"{home}/{name}", "schema": rows.schema.jsonValue()}
-    draft = f"{home}/pointer.json"
-    files.write(draft, json.dumps({"tables": named}))
-    if not files.listed("pointers"):
-        files._fs.mkdirs(files.path("pointers"))
-    files.move(draft, f"pointers/{number:08d}.json")
-    return Version(spark, files.folder, number, named)
+        table.laid_out(rows).parquet(f"{before.folder}/{home}/{name}")
+        named[name] = {"paths": [f"{home}/{name}"], "schema": rows.schema.jsonValue()}
+    return point(before, home, named)
 
 
 def sweep(spark: SparkSession, folder: str, grace: float = 3600.0, now: float | None = None) -> list[str]:
     """Delete pointers that have not been the newest for ``grace`` seconds, and table folders that no pointer left names.
 
-    Folders that changed within the grace stay, as a publication may be writing them.
+    Versions without a pointer that changed within the grace stay, as a publication may be writing them.
     """
     files, now = _Files(spark, folder), time.time() if now is None else now
     found = _pointers(files)
     order = sorted(found)
-    kept = [n for n, following in zip(order, [*order[1:], None], strict=True) if following is None or now - found[following] < grace]
-    named = {t["path"] for n in kept for t in _load(spark, files, n).tables.values()}
-    gone = []
-    for n in order:
-        if n not in kept:
-            files.delete(f"pointers/{n:08d}.json")
-    for version in files.listed("versions"):
-        parts = files.listed(f"versions/{version}")
-        if any(now - at < grace for at in [files.listed("versions").get(version, 0), *parts.values()]) and not any(version.startswith(f"{n:08d}-") and n not in kept for n in order):
-            continue
-        for part in parts:
-            if f"versions/{version}/{part}" not in named:
-                files.delete(f"versions/{version}/{part}")
-                gone.append(f"versions/{version}/{part}")
-        if not files.listed(f"versions/{version}"):
-            files.delete(f"versions/{version}")
+    old = [n for n, following in zip(order, [*order[1:], None], strict=True) if following is not None and now - found[following] >= grace]
+    paths = {n: {p for t in _load(spark, files, n).tables.values() for p in t["paths"]} for n in order}
+    named = set().union(*(paths[n] for n in order if n not in old))
+    gone = set().union(*(paths[n] for n in old)) - named
+    for n in old:
+        files.delete(f"pointers/{n:08d}.json")
+    for path in gone:
+        files.delete(path)
+    for version, at in files.listed("versions").items():
+        home = f"versions/{version}"
+        if not any(p.startswith(f"{home}/") for p in named) and now - max([at, *files.listed(home).values()]) >= grace:
+            gone |= {f"{home}/{part}" for part in files.listed(home)}
+            files.delete(home)
     return sorted(gone)

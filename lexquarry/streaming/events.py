@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexquarry.operators.ranking import latest
+from lexquarry.scratch import drop, save
+from lexquarry.sources.published import current, draft, point, sweep
 
 
 def rate_per_minute(events: DataFrame, key: str, most: int, at: str = "ts", late: str | None = None) -> DataFrame:
@@ -35,41 +37,45 @@ def distinct_events(events: DataFrame, key: str, at: str = "ts", late: str = "10
     return events.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Names of the state's versions, the oldest first."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [f.getPath() for f in fs.listStatus(folder)] if fs.exists(folder) else []
-    whole = [p.getName() for p in found if p.getName().startswith("version=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(whole)
+_STATE = "state"
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """The newest whole version of a state kept by :func:`fold_log`."""
-    return spark.read.parquet(f"{path}/{_versions(spark, path)[-1]}")
+    """The newest state kept by :func:`fold_log`."""
+    return current(spark, path).table(_STATE).drop("bucket")
 
 
-def fold_log(stream: DataFrame, path: str, key: str, *order: str, checkpoint: str, once: bool = True):
-    """Keep the latest row of every key of an append-only log in the table ``path`` (see :func:`read_state`).
+def fold_log(stream: DataFrame, path: str, key: str, *order: str, checkpoint: str, once: bool = True, buckets: int = 64, grace: float = 3600.0):
+    """Keep the latest row of every key of an append-only log in a published table (see :func:`read_state`).
 
-    Each batch is merged with the newest version before it and written as the next one, which is named by the
-    query and the batch, so a batch that is run again after a failure replaces its own version.  A query with a
-    new checkpoint goes on from the state that is there.  The version before the newest stays for readers;
-    older ones are deleted.
+    The state is dealt by the key's hash over ``buckets`` folders.  A batch reads and writes only the folders of its
+    own keys; the others are carried on, and one pointer makes the change visible.  The pointer names the query and
+    the batch, so a batch that is run again after it was applied changes nothing.  A query with a new checkpoint goes
+    on from the state that is there.  Folders that were replaced stay for readers for ``grace`` seconds.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-        found = _versions(spark, path)
-        own = [v for v in found if v.endswith(f"-{query}-{number}")]
-        before = [v for v in found if not own or v < own[0]]
-        name = own[0] if own else f"version={int(found[-1][8:20]) + 1 if found else 0:012d}-{query}-{number}"
-        rows = batch.unionByName(spark.read.parquet(f"{path}/{before[-1]}")) if before else batch
-        latest(rows, key, *order).write.mode("overwrite").parquet(f"{path}/{name}")
-        for old in before[:-1]:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{old}")
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        before = current(spark, path)
+        if before.note.get("query") == query and before.note.get("batch", -1) >= number:
+            return
+        fresh = save(latest(batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")), key, *order), "fold")
+        touched = sorted(r.bucket for r in fresh.select("bucket").distinct().collect())  # ``buckets`` rows at most
+        if not touched:
+            return
+        held = before.tables.get(_STATE, {"paths": [], "schema": None})
+        own = {int(p.rsplit("=", 1)[1]): p for p in held["paths"]}
+        columns = [c for c in fresh.columns if c != "bucket"]
+        old = before.read(_STATE, [own[b] for b in touched if b in own]).select(columns) if any(b in own for b in touched) else None
+        rows = fresh.select(columns) if old is None else latest(fresh.select(columns).unionByName(old), key, *order)
+        home = draft(before)
+        spread = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).select(*columns, "bucket")
+        spread.repartition(len(touched), "bucket").write.partitionBy("bucket").parquet(f"{before.folder}/{home}/{_STATE}")
+        paths = {**own, **{b: f"{home}/{_STATE}/bucket={b}" for b in touched}}
+        point(before, home, {**before.tables, _STATE: {"paths": [paths[b] for b in sorted(paths)], "schema": rows.select(columns).schema.jsonValue()}}, {"query": query, "batch": number})
+        drop(fresh)
+        sweep(spark, path, grace)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
