@@ -192,12 +192,15 @@ def anchors(page: str | None) -> Iterator[tuple[int, str, str]]:
         yield n, href, collapsed(parts)
 
 
-def records(page: str | None, record: str, fields: tuple[str, ...]) -> Iterator[tuple[int, str | None, dict[str, str], list[tuple[str, str]], list[str]]]:
-    """Every outermost ``record`` element: its number, the last heading above it, its attributes, the (name, text) of the ``fields`` in it, and its targets."""
+def records(page: str | None, record: str, fields: tuple[str, ...]) -> Iterator[tuple[int, str | None, dict[str, str], str, list[tuple[str, str]], list[str]]]:
+    """Every outermost ``record`` element: its number, the last heading above it, its attributes, its text, the (name, text) of the ``fields`` in it, and its targets."""
     n, heading, title, inside, found, links, attributes = 0, None, None, 0, [], [], {}
     open_fields: list[tuple[str, list[str], int]] = []
+    body: list[str] = []
     for t in scan(page):
         if t.kind == "text":
+            if inside:
+                body.append(t.text)
             if title is not None:
                 title.append(t.text)
             if open_fields:
@@ -208,7 +211,7 @@ def records(page: str | None, record: str, fields: tuple[str, ...]) -> Iterator[
             if t.name == record:
                 inside += 1
                 if inside == 1:
-                    found, links, attributes = [], [], t.attributes
+                    found, links, body, attributes = [], [], [], t.attributes
             if inside:
                 if t.name in fields:
                     open_fields.append((t.name, [], len(found)))
@@ -225,12 +228,12 @@ def records(page: str | None, record: str, fields: tuple[str, ...]) -> Iterator[
                 inside -= 1
                 if not inside:
                     open_fields.clear()
-                    yield n, heading, attributes, found, links
+                    yield n, heading, attributes, collapsed(body), found, links
                     n += 1
 
 
 _LINK = "place long, href string, text string"
-_RECORD = "place long, heading string, attributes map<string,string>, fields array<struct<name:string,text:string>>, links array<string>"
+_RECORD = "place long, heading string, attributes map<string,string>, text string, fields array<struct<name:string,text:string>>, links array<string>"
 _TOKEN = "place long, kind string, name string, depth int, text string, attributes map<string,string>"
 
 
@@ -267,11 +270,11 @@ def page_anchors(df: DataFrame, key: str, page: str) -> DataFrame:
 
 
 def page_records(df: DataFrame, key: str, page: str, record: str = "tr", fields: tuple[str, ...] = ("td", "th")) -> DataFrame:
-    """Every ``record`` element (a table's rows, if not said otherwise): ``key, place, heading, attributes, fields, links``."""
+    """Every ``record`` element (a table's rows, if not said otherwise): ``key, place, heading, attributes, text, fields, links``."""
 
     def rows(x: str | None) -> Iterator[tuple]:
-        for n, heading, attributes, found, links in records(x, record, fields):
-            yield n, heading, list(attributes.items()), [{"name": a, "text": b} for a, b in found], links
+        for n, heading, attributes, body, found, links in records(x, record, fields):
+            yield n, heading, list(attributes.items()), body, [{"name": a, "text": b} for a, b in found], links
 
     return _mapped(df, key, page, _RECORD, rows)
 

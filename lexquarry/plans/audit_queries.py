@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexquarry.functions import text
+from lexquarry.functions import markup, outline, text
 from lexquarry.operators import ranking, reports
 from lexquarry.plans.registry import Tables, query
 
@@ -210,8 +210,8 @@ WITH n AS (SELECT DISTINCT s_suppkey, trim(unnest(regexp_extract_all({_ITEMS}, '
 SELECT s_suppkey, n.name, CASE WHEN k.name IS NULL THEN 'not_registered' ELSE 'registered' END AS status FROM n LEFT JOIN k ON lower(n.name) = k.name""")
 def place_queue(t: Tables) -> DataFrame:
     """Places listed on a page, distinct, by whether the registry knows them."""
-    names = F.array_distinct(F.transform(F.regexp_extract_all(F.expr(_ITEMS), F.lit("<li>([^<]*)</li>"), F.lit(1)), lambda x: F.trim(x)))
-    n = t.supplier.select("s_suppkey", F.explode(names).alias("name")).withColumn("k", F.lower("name"))
+    page = t.supplier.select("s_suppkey", F.expr(_ITEMS).alias("page"))
+    n = markup.page_records(page, "s_suppkey", "page", "li", ()).select("s_suppkey", F.col("text").alias("name"), F.lower("text").alias("k")).distinct()
     known = t.supplier.where("s_suppkey % 2 = 0").select(F.concat(F.lit("town of "), F.lower("s_name")).alias("k"), F.lit(True).alias("there"))
     return n.join(known, "k", "left").select("s_suppkey", "name", F.when(F.col("there"), "registered").otherwise("not_registered").alias("status"))
 
@@ -310,9 +310,9 @@ WITH b AS (SELECT s_suppkey, unnest(string_split({_TABLE}, '<h2>')[2:]) AS block
 SELECT s_suppkey, kind, replace(c[1], ' ', '_') AS rule, c[2] AS title, CASE WHEN kind = 'Proposed' THEN c[3] END AS hearing, CASE WHEN kind = 'Adopted' THEN c[3] END AS effective FROM c WHERE len(c) >= 3 AND regexp_matches(c[1], '^\\d+ CCR ')""")
 def register_table(t: Tables) -> DataFrame:
     """Rows of three cells with a citation as notices under the heading above them; the date goes by the kind of notice."""
-    b = t.supplier.select("s_suppkey", F.explode(text.all_but_first(F.split(F.expr(_TABLE), "<h2>"))).alias("block"))
-    r = b.select("s_suppkey", F.regexp_extract("block", "^([^<]*)", 1).alias("kind"), F.explode(F.regexp_extract_all("block", F.lit("<tr>(.*?)</tr>"), F.lit(1))).alias("row"))
-    c = r.select("s_suppkey", "kind", F.regexp_extract_all("row", F.lit("<td>([^<]*)</td>"), F.lit(1)).alias("c")).where((F.size("c") >= 3) & F.get("c", F.lit(0)).rlike(r"^\d+ CCR "))
+    page = t.supplier.select("s_suppkey", F.expr(_TABLE).alias("page"))
+    c = markup.page_records(page, "s_suppkey", "page").select("s_suppkey", F.col("heading").alias("kind"), F.col("fields.text").alias("c"))
+    c = c.where((F.size("c") >= 3) & F.get("c", F.lit(0)).rlike(r"^\d+ CCR "))
     cell = lambda k: F.get("c", F.lit(k))
     day = lambda kind: F.when(F.col("kind") == kind, cell(2))
     return c.select("s_suppkey", "kind", F.replace(cell(0), F.lit(" "), F.lit("_")).alias("rule"), cell(1).alias("title"), day("Proposed").alias("hearing"), day("Adopted").alias("effective"))
@@ -339,11 +339,13 @@ WITH s AS (SELECT unnest(regexp_extract_all({_SGML}, '<SECTION (.*?)</SECTION>',
 SELECT 'CRS-' || regexp_extract(s, 'ID="([^"]+)"', 1) AS id, regexp_extract(s, '<HEAD>([^<]*)</HEAD>', 1) AS heading, array_to_string(regexp_extract_all(s, '<P>([^<]*)</P>', 1), chr(10)) AS body FROM s""")
 def sgml_sections(t: Tables) -> DataFrame:
     """Sections of tagged titles as records."""
-    s = t.supplier.select(F.explode(F.regexp_extract_all(F.expr(_SGML), F.lit("<SECTION (.*?)</SECTION>"), F.lit(1))).alias("s"))
-    body = F.array_join(F.regexp_extract_all("s", F.lit("<P>([^<]*)</P>"), F.lit(1)), "\n")
-    return s.select(F.concat(F.lit("CRS-"), F.regexp_extract("s", 'ID="([^"]+)"', 1)).alias("id"), F.regexp_extract("s", "<HEAD>([^<]*)</HEAD>", 1).alias("heading"), body.alias("body"))
+    title = t.supplier.select("s_suppkey", F.expr(_SGML).alias("page"))
+    s = markup.page_records(title, "s_suppkey", "page", "section", ("head", "p"))
+    of = lambda name: F.transform(F.filter("fields", lambda f: f["name"] == name), lambda f: f["text"])
+    return s.select(F.concat(F.lit("CRS-"), F.col("attributes")["id"]).alias("id"), F.array_join(of("head"), " ").alias("heading"), F.array_join(of("p"), "\n").alias("body"))
 
 
+MARKDOWN = outline.Shape(tuple((f"h{k}", rf"^{'#' * k} (.*)") for k in (1, 2, 3)))
 _HEADED = """concat('# Rules\nIntro\n## Part ', p_size, '\n### Fees\nPay ', p_partkey, '\nSoon\n## Part B\nEnd of ', p_brand)"""
 
 
@@ -354,17 +356,13 @@ WITH l AS (SELECT p_partkey, string_split({_HEADED}, chr(10)) AS s FROM part), r
 SELECT p_partkey, path, string_agg(line, chr(10) ORDER BY i) AS body, min(i) - 1 AS first_line FROM p GROUP BY 1, 2""")
 def heading_chunks(t: Tables) -> DataFrame:
     """Texts by their headings, with the path of headings above each; headings without text give none."""
-    so_far = Window.partitionBy("p_partkey").orderBy("i")  # the lines of one text
-    lines = t.part.select("p_partkey", F.posexplode(F.split(F.expr(_HEADED), "\n")).alias("i", "line"))
-    level = F.length(F.regexp_extract("line", "^(#+) ", 1))
-    marked = lines.withColumn("level", level).withColumn("title", F.regexp_replace("line", "^#+ ", ""))
-    last = lambda k: F.last(F.when(F.col("level") == k, F.struct("i", "title")), ignorenulls=True).over(so_far)
-    h = marked.withColumns({f"h{k}": last(k) for k in (1, 2, 3)}).where("level = 0")
-    path = F.concat_ws(" > ", "h1.title", F.when(F.col("h2.i") > F.col("h1.i"), F.col("h2.title")), F.when(F.col("h3.i") > F.col("h2.i"), F.col("h3.title")))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), "\n")
-    return h.groupBy("p_partkey", path.alias("path")).agg(body.alias("body"), F.min("i").cast("long").alias("first_line"))
+    texts = t.part.select("p_partkey", F.expr(_HEADED).alias("x"))
+    found = outline.outline(texts, "p_partkey", "x", MARKDOWN).where("n_lines > 0")
+    return found.select("p_partkey", F.array_join("path", " > ").alias("path"), "body", (F.col("first_line") - 1).alias("first_line"))
 
 
+#: Parts, numbered sections and lettered subsections.
+PARTS = outline.Shape((("part", r"^PART (.*)"), ("section", r"^(\d+[.]\d+) "), ("subsection", r"^\(([a-z])\) ")))
 _PARTED = """concat('PART A\n1.1 Scope of ', p_brand, '\n(a) first\n(b) second\nPART B\n2.1 Fees\n(a) pay ', p_size)"""
 
 
@@ -373,14 +371,10 @@ WITH l AS (SELECT p_partkey, string_split({_PARTED}, chr(10)) AS s FROM part), r
 SELECT p_partkey, substring(part, 6) AS part, regexp_extract(section, '^(\\d+[.]\\d+)', 1) AS section, regexp_extract(line, '^\\(([a-z])\\)', 1) AS subsection, regexp_extract(line, '^\\([a-z]\\) (.*)$', 1) AS body, i - 1 AS line FROM r WHERE regexp_matches(line, '^\\([a-z]\\) ')""")
 def structure_tree(t: Tables) -> DataFrame:
     """Subsections with the section and part they stand in, and their lines."""
-    so_far = Window.partitionBy("p_partkey").orderBy("i")  # the lines of one text
-    lines = t.part.select("p_partkey", F.posexplode(F.split(F.expr(_PARTED), "\n")).alias("i", "line"))
-    last = lambda c, v: F.last(F.when(c, v), ignorenulls=True).over(so_far)
-    x = F.col("line")
-    r = lines.withColumns({"part": last(x.startswith("PART "), F.expr("substring(line, 6)")), "section": last(x.rlike(r"^\d+[.]\d+ "), F.regexp_extract("line", r"^(\d+[.]\d+)", 1))})
-    return r.where(x.rlike(r"^\([a-z]\) ")).select(
-        "p_partkey", "part", "section", F.regexp_extract("line", r"^\(([a-z])\)", 1).alias("subsection"), F.regexp_extract("line", r"^\([a-z]\) (.*)$", 1).alias("body"), F.col("i").cast("long").alias("line")
-    )
+    texts = t.part.select("p_partkey", F.expr(_PARTED).alias("x"))
+    rows = outline.outline(texts, "p_partkey", "x", PARTS).where("level = 3")
+    label = lambda name: F.col("labels")[name].alias(name)
+    return rows.select("p_partkey", label("part"), label("section"), label("subsection"), F.regexp_extract("opened", r"^\([a-z]\) (.*)$", 1).alias("body"), (F.col("opened_line") - 1).alias("line"))
 
 
 @query(f"""
@@ -388,9 +382,52 @@ WITH l AS (SELECT p_partkey, string_split({_PARTED}, chr(10)) AS s FROM part), r
 SELECT p_partkey, block::BIGINT AS block, string_agg(line, ' ' ORDER BY i) AS body, min(i) AS first, max(i) AS last FROM m GROUP BY 1, 2""")
 def source_blocks(t: Tables) -> DataFrame:
     """Paragraphs under each heading as one block with its span of lines."""
-    so_far = Window.partitionBy("p_partkey").orderBy("i")  # the lines of one text
-    lines = t.part.select("p_partkey", F.posexplode(F.split(F.expr(_PARTED), "\n")).alias("i", "line"))
-    block = F.sum(F.col("line").rlike(r"^(PART |\d+[.]\d+ )").cast("int")).over(so_far)
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), " ")
-    g = lines.withColumn("block", block.cast("long")).groupBy("p_partkey", "block").agg(body.alias("body"), F.min("i").alias("first"), F.max("i").alias("last"))
-    return g.select("p_partkey", "block", "body", (F.col("first") + 1).cast("long").alias("first"), (F.col("last") + 1).cast("long").alias("last"))
+    texts = t.part.select("p_partkey", F.expr(_PARTED).alias("x"))
+    found = outline.outline(texts, "p_partkey", "x", outline.Shape((("heading", r"^(?:PART |\d+[.]\d+ )"),), joint=" "))
+    body = F.concat_ws(" ", "opened", F.when(F.col("n_lines") > 0, F.col("body")))
+    return found.select("p_partkey", "block", body.alias("body"), F.coalesce("opened_line", "first_line").alias("first"), F.col("last_line").alias("last"))
+
+
+_SHORT = 40
+
+
+@query(f"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents), r AS (SELECT doc_id, s[i] AS line, i, length(s[i]) BETWEEN 1 AND {_SHORT} AS head FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM l)),
+ b AS (SELECT *, count(*) FILTER (head) OVER (PARTITION BY doc_id ORDER BY i) AS block FROM r)
+SELECT doc_id, block::BIGINT AS block, trim(max(line) FILTER (head), ' ') AS heading, count(*) FILTER (NOT head)::BIGINT AS n_lines, string_agg(line, chr(10) ORDER BY i) FILTER (NOT head) AS body FROM b GROUP BY 1, 2""")
+def document_outline(t: Tables) -> DataFrame:
+    """Documents by their short lines, taken as headings, with the lines under each."""
+    found = outline.outline(t.documents, "doc_id", "text", outline.Shape((("title", rf"^(.{{1,{_SHORT}}})\Z"),)))
+    return found.select("doc_id", "block", "heading", "n_lines", F.when(F.col("n_lines") > 0, F.col("body")).alias("body"))
+
+
+def _read(x: str) -> str:
+    """SQL of a text with the references that stand in the pages replaced, and white space collapsed."""
+    for name, sign in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        x = f"replace({x}, '&{name};', '{sign}')"
+    return f"trim(regexp_replace({x}, '[ \\t\\n\\r\\f]+', ' ', 'g'), ' ')"
+
+
+_TAGS = "regexp_replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), '<[a-zA-Z/!][^>]*$', ' ')"
+
+
+@query(f"""
+WITH p AS (SELECT page_id, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) AS h, string_split(regexp_extract(html, '(?s)</h1>(.*)$', 1), '<p>') AS s FROM pages), b AS (SELECT page_id, h, i, regexp_replace(s[i], '(?s)</(p|article|body)>.*$', '') AS x FROM (SELECT *, unnest(range(2, len(s) + 1)) AS i FROM p))
+SELECT page_id, i - 2 AS place, {_read('h')} AS heading, {_read(_TAGS.format('x'))} AS text FROM b""")
+def page_paragraphs(t: Tables) -> DataFrame:
+    """Paragraphs of real pages under their heading; one ends where it is closed, at the next one or with what is around it."""
+    return markup.page_records(t.pages, "page_id", "html", "p", ()).select("page_id", "place", "heading", "text")
+
+
+@query(f"""
+WITH l AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS x FROM pages)
+SELECT page_id, i - 1 AS place, {_read('h[i]')} AS href, {_read('x[i]')} AS text FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM l)""")
+def page_anchors(t: Tables) -> DataFrame:
+    """Every anchor of real pages with its target and text."""
+    return markup.page_anchors(t.pages, "page_id", "html")
+
+
+@query(rf"""SELECT page_id, {_read(_TAGS.format("regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<!--.*$', ' ', 'g')"))} AS visible FROM pages""")
+def page_text(t: Tables) -> DataFrame:
+    """Visible text of real pages with character references read."""
+    return markup.page_text(t.pages, "page_id", "html")

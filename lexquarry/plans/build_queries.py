@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexquarry.functions import scoring, text
+from lexquarry.functions import markup, outline, scoring, text
 from lexquarry.operators import joins, ranking, reports
 from lexquarry.plans.registry import Tables, query
 
@@ -300,13 +300,10 @@ WITH l AS (SELECT p_partkey, string_split({_PAGES}, chr(10)) AS s FROM part), r
 SELECT p_partkey, section, min(page) AS first_page, max(page) AS last_page, min(i) AS first_line, max(i) AS last_line FROM r WHERE section IS NOT NULL AND NOT starts_with(line, '[[page ') GROUP BY 1, 2""")
 def section_spans(t: Tables) -> DataFrame:
     """Sections of page-marked texts with their pages and lines."""
-    so_far = Window.partitionBy("p_partkey").orderBy("i")  # the lines of one text
-    lines = t.part.select("p_partkey", F.posexplode(F.split(F.expr(_PAGES), "\n")).alias("i", "line"))
-    page_line, head = F.col("line").startswith("[[page "), F.col("line").startswith("Section ")
-    last = lambda c, v: F.last(F.when(c, v), ignorenulls=True).over(so_far)
-    r = lines.withColumns({"page": last(page_line, F.regexp_extract("line", r"(\d+)", 1).try_cast("long")), "section": last(head, F.col("line"))})
-    kept = r.where("section IS NOT NULL").where(~page_line)
-    return kept.groupBy("p_partkey", "section").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"), (F.min("i") + 1).cast("long").alias("first_line"), (F.max("i") + 1).cast("long").alias("last_line"))
+    texts = t.part.select("p_partkey", F.expr(_PAGES).alias("x"))
+    found = outline.outline(texts, "p_partkey", "x", outline.Shape((("section", r"^Section .*"),), marker=r"^\[\[page (\d+)"))
+    kept = found.where("level = 1").select("p_partkey", F.col("opened").alias("section"), F.coalesce("opened_page", "first_page").alias("first_page"), "last_page", F.col("opened_line").alias("first_line"), "last_line")
+    return kept
 
 
 _LAWS = """concat('<table><tr><th>Ch.</th></tr><tr><td>', s_suppkey, '</td><td> HB24-', 1000 + s_suppkey, ' </td><td>Concerning ', s_name, '</td></tr><tr><td>', s_suppkey + 1, '</td><td>n/a</td><td>none</td></tr></table>')"""
@@ -317,9 +314,9 @@ WITH r AS (SELECT s_suppkey, unnest(regexp_extract_all({_LAWS}, '<tr>(.*?)</tr>'
 SELECT s_suppkey, 'SL-2024-' || lpad(c[1], 4, '0') AS id, trim(c[2]) AS bill, c[3] AS title FROM c WHERE len(c) = 3 AND regexp_matches(trim(c[2]), '^[HS]B\\d\\d-\\d+$')""")
 def session_laws(t: Tables) -> DataFrame:
     """Rows of a table of session laws as records; rows without a bill are none."""
-    r = t.supplier.select("s_suppkey", F.explode(F.regexp_extract_all(F.expr(_LAWS), F.lit("<tr>(.*?)</tr>"), F.lit(1))).alias("r"))
-    c = r.select("s_suppkey", F.regexp_extract_all("r", F.lit("<td>([^<]*)</td>"), F.lit(1)).alias("c")).where(F.size("c") == 3)
-    bill = F.trim(F.get("c", F.lit(1)))
+    page = t.supplier.select("s_suppkey", F.expr(_LAWS).alias("page"))
+    c = markup.page_records(page, "s_suppkey", "page", "tr", ("td",)).select("s_suppkey", F.col("fields.text").alias("c")).where(F.size("c") == 3)
+    bill = F.get("c", F.lit(1))
     return c.where(bill.rlike(r"^[HS]B\d\d-\d+$")).select("s_suppkey", F.concat(F.lit("SL-2024-"), F.lpad(F.get("c", F.lit(0)), 4, "0")).alias("id"), bill.alias("bill"), F.get("c", F.lit(2)).alias("title"))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexquarry.functions import legal, text
+from lexquarry.functions import legal, outline, text
 from lexquarry.operators import ranking
 from lexquarry.plans.registry import Tables, query
 
@@ -127,7 +127,8 @@ WITH s AS (SELECT p_partkey, p_size || '-1-1' AS c, string_split_regex({_PAGED},
 SELECT p_partkey, string_agg(n::VARCHAR, ',' ORDER BY n) AS pages FROM p WHERE n > 0 AND regexp_matches(page, 'C[.]R[.]S[.].{{0,20}}' || c) GROUP BY p_partkey""")
 def citation_pages(t: Tables) -> DataFrame:
     """Pages on which the statute is cited by name."""
-    pages = t.part.select("p_partkey", F.expr("concat(p_size, '-1-1')").alias("c"), F.posexplode(F.split(F.expr(_PAGED), r"\[\[page \d+\]\]")).alias("n", "page"))
+    texts = t.part.select(F.struct("p_partkey", F.expr("concat(p_size, '-1-1')").alias("c")).alias("k"), F.regexp_replace(F.expr(_PAGED), r"(\[\[page \d+\]\])", "\n$1\n").alias("x"))
+    pages = outline.outline(texts, "k", "x", outline.Shape((("page", r"^\[\[page (\d+)"),))).select("k.*", F.col("heading").cast("int").alias("n"), F.col("body").alias("page"))
     hits = pages.where("n > 0").where(F.expr("page rlike concat('C[.]R[.]S[.].{0,20}', c)"))
     return hits.groupBy("p_partkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("n")), lambda n: n.cast("string")), ",").alias("pages"))
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexquarry.functions import dates, text
+from lexquarry.functions import dates, outline, text
 from lexquarry.operators import joins, ranking
 from lexquarry.plans.registry import Tables, query
 
@@ -124,12 +124,12 @@ _SLASHED = r"(\d{1,2})/(\d{1,2})/(\d{4})"
 
 def _history(t: Tables) -> DataFrame:
     """Lines behind the heading, up to the next one, that state a date."""
-    lines = t.supplier.select("s_suppkey", F.posexplode(F.split(F.expr(_PAGE), "\n")).alias("pos", "line"))
-    so_far = Window.partitionBy("s_suppkey").orderBy("pos")  # the lines of one text
-    inside = F.last(F.when(F.col("line") == "History", True).when(F.col("line") == "Notes", False), ignorenulls=True).over(so_far)
+    texts = t.supplier.select("s_suppkey", F.expr(_PAGE).alias("x"))
+    found = outline.outline(texts, "s_suppkey", "x", outline.Shape((("heading", "^(History|Notes)$"),))).where("heading = 'History'")
+    lines = found.select("s_suppkey", F.explode(F.split("body", "\n")).alias("line"))
     kind = F.lower(F.regexp_extract("line", r"^(\w+)", 1))
     day = dates.flexible_date(F.nullif(F.regexp_extract("line", _SLASHED, 0), F.lit("")))
-    return lines.withColumn("inside", inside).where("inside").select("s_suppkey", kind.alias("kind"), day.alias("day")).where("day IS NOT NULL")
+    return lines.select("s_suppkey", kind.alias("kind"), day.alias("day")).where("day IS NOT NULL")
 
 
 _HISTORY_SQL = rf"""l AS (SELECT s_suppkey, i, s[i] AS line, s FROM (SELECT s_suppkey, string_split({_PAGE}, chr(10)) AS s, unnest(range(1, len(string_split({_PAGE}, chr(10))) + 1)) AS i FROM supplier)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexquarry.functions import legal, text, units
+from lexquarry.functions import legal, outline, text, units
 from lexquarry.plans.registry import Tables, query
 
 PROSE = """concat('The owner of a ', p_brand, ' unit shall file a report with the office within ', p_size, ' days if the ', p_type, ' part is sold, unless exempted by rule; ',
@@ -117,9 +117,9 @@ LAW = """concat('#### 1-', s_suppkey, '\nFirst text\n12\nPage footer\n#### 2-',
 @query(f"""SELECT s_suppkey, trim(regexp_extract({LAW}, '(?s)#### 2-' || s_suppkey || chr(10) || '(.*?)(?:' || chr(10) || '#### |$)', 1)) AS body FROM supplier""")
 def section_by_key(t: Tables) -> DataFrame:
     """The lines under a section's heading."""
-    doc = t.supplier.select("s_suppkey", F.expr(LAW).alias("x"), F.expr("concat('#### 2-', s_suppkey, '\\n')").alias("head"))
-    behind = F.expr("substring(x, locate(head, x) + length(head))")
-    return doc.select("s_suppkey", F.trim(F.substring_index(behind, "\n#### ", 1)).alias("body"))
+    texts = t.supplier.select("s_suppkey", F.expr(LAW).alias("x"))
+    found = outline.outline(texts, "s_suppkey", "x", outline.Shape((("section", "^#### (.*)"),)))
+    return found.where(F.col("heading") == F.concat(F.lit("2-"), F.col("s_suppkey"))).select("s_suppkey", F.trim("body").alias("body"))
 
 
 @query(f"""
@@ -127,13 +127,10 @@ WITH l AS (SELECT s_suppkey, string_split({LAW}, chr(10)) AS s FROM supplier), r
 SELECT s_suppkey, substring(head, 6) AS section, string_agg(line, ' ' ORDER BY i) AS body FROM r WHERE NOT starts_with(line, '#### ') AND NOT regexp_matches(line, '^\\d+$') AND line <> 'Page footer' AND NOT regexp_matches(lower(line), '^(definitions|purpose|authority)') GROUP BY 1, 2""")
 def clean_sections(t: Tables) -> DataFrame:
     """Sections without page numbers, footers and lines of definition."""
-    so_far = Window.partitionBy("s_suppkey").orderBy("i")  # the lines of one text
-    lines = t.supplier.select("s_suppkey", F.posexplode(F.split(F.expr(LAW), "\n")).alias("i", "line"))
-    head = F.last(F.when(F.col("line").startswith("#### "), F.expr("substring(line, 6)")), ignorenulls=True).over(so_far)
-    noise = F.col("line").rlike(r"^\d+$") | (F.col("line") == "Page footer") | F.lower("line").rlike("^(definitions|purpose|authority)") | F.col("line").startswith("#### ")
-    kept = lines.withColumn("section", head).where(~noise)
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), " ")
-    return kept.groupBy("s_suppkey", "section").agg(body.alias("body"))
+    texts = t.supplier.select("s_suppkey", F.expr(LAW).alias("x"))
+    noise = r"^\d+$|^Page footer$|(?i:^(definitions|purpose|authority))"
+    found = outline.outline(texts, "s_suppkey", "x", outline.Shape((("section", "^#### (.*)"),), noise=noise, joint=" ")).where("n_lines > 0")
+    return found.select("s_suppkey", F.col("heading").alias("section"), "body")
 
 
 NUMBERED = """concat('1 An act\n2 concerning things\n', s_suppkey, ' parts are counted\n3 and kept\nplain line\n4 at the end\n1 Next page\n2 goes on')"""
