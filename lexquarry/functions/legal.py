@@ -10,9 +10,9 @@ CRS = r"\b\d{1,3}(?:\.\d+)?-\d+(?:\.\d+)?-\d+(?:\.\d+)?\b"
 CCR = r"\b(\d{1,2}) CCR (\d{3,4}-\d{1,4}(?:-\d{1,4})?)\b"
 FEDERAL = r"\b\d{1,2}\s+(?:CFR|C\.F\.R\.|USC|U\.S\.C\.)\s+\d{1,5}(?:\.\d+)?\b"
 TERM = r'"([^"]{2,80})"\s+means\b'
-CLAUSE = r"(?i)\b(?:if|when|unless|except|provided that)\b[^.;]+"
-TEMPORAL = r"(?i)\b(?:within\s+\d+\s+(?:calendar\s+)?(?:days?|months?|years?)|no later than\s+[^.;,]+|before\s+[^.;,]+|annually|quarterly|monthly)"
-ACTION = r"(?i)((?:No\s+)?[A-Za-z0-9][^.;:]{2,180}?)\s+(shall not|may not|must not|is required to|are required to|shall|must|may)\b([^.;]{8,520})"
+CLAUSE = r"(?i)\b(?:if|when|unless|except(?: as provided)?|provided that)\b[^.;]+"
+TEMPORAL = r"(?i)\b(?:within\s+\d+\s+(?:calendar\s+)?(?:days?|months?|years?)|no later than\s+[^.;,]+|before\s+[^.;,]+|after\s+[^.;,]+|annually|quarterly|monthly|weekly|daily)\b"
+ACTION = r"(?i)((?:No\s+)?[A-Za-z0-9][^.;:]{2,180}?)\s+(shall not|may not|must not|is prohibited from|are prohibited from|is required to|are required to|shall|must|may)\b([^.;]{8,520})"
 
 #: Titles of the statutes run from 1 to this.
 LAST_TITLE = 44

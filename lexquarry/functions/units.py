@@ -10,11 +10,20 @@ from lexquarry.functions.text import ladder
 
 # Forms of bills.
 MONEY = r"\$\s*\d[\d,]*(?:\.\d{2})?"
-FUND = r"(?i)\b(general fund|cash fund|federal funds|state education fund)\b"
+FUND = r"(?i)\b(general fund|cash funds?|federal funds?|state education fund|marijuana tax cash fund|highway users tax fund|[\w\s-]{2,80}\s+fund)\b"
 STAFF = r"\b(\d+(?:\.\d+)?) FTE\b"
 PENALTY = r"(?i)\b(class [1-6] (?:felony|misdemeanor)|fine of \$[\d,]+|imprisonment (?:for|of) [^.;,]+)"
 HONORIFICS = r"(?i)\b(?:representatives?|senators?)\b"
-VAGUE = ("it", "this", "that", "they", "he", "she", "the following", "such")
+# Subjects, and parts of subjects, that do not say who is meant.
+VAGUE = ("it", "this", "that", "there", "these", "those")
+FRONT_MATTER = ("following general definitions", "following definitions", "purpose of these", "statutory authority")
+# What a section does to the law, in the order of tests, in lower case.
+SECTION_ACTIONS = (
+    ("repeal", r"\bis\s+(?:hereby\s+)?repealed\b|\brepeal(?:ed|ing)?\b"),
+    ("add", r"\b(?:by\s+the\s+addition\s+of|is\s+added|add\s+a\s+new)\b"),
+    ("amend", r"\bis\s+amended(?:\s+to\s+read)?\b"),
+    ("new", r"\b(?:new\s+(?:article|part|section)|is\s+enacted)\b"),
+)
 # Clauses that open exceptions; the other clauses are conditions.
 EXCEPTIONS = r"(?i)^(unless|except)"
 
@@ -37,14 +46,18 @@ def temporal(text: Column | str) -> Column:
 
 
 def fit_subject(subject: Column) -> Column:
-    """Neither vague nor short, and with a letter."""
-    return (F.length(subject) >= 4) & ~F.lower(subject).isin(*VAGUE) & subject.rlike("[A-Za-z]")
+    """Neither vague nor short nor of front matter, and with a letter."""
+    low = F.lower(subject)
+    front = F.lit(False)
+    for part in FRONT_MATTER:
+        front = front | low.contains(part)
+    return (F.length(subject) >= 4) & ~low.isin(*VAGUE) & ~front & subject.rlike("[A-Za-z]")
 
 
 def section_action(body: Column) -> Column:
     """repeal, add, amend, new or other, by the first 1,200 characters."""
     head = F.lower(F.substring(body, 1, 1200))
-    return ladder((head.rlike(r"\bis (hereby )?repealed\b"), "repeal"), (head.rlike(r"\bis added\b|by the addition of"), "add"), (head.rlike(r"\bis amended\b"), "amend"), (head.rlike(r"\bnew (article|part|section)\b"), "new"), otherwise="other")
+    return ladder(*((head.rlike(p), name) for name, p in SECTION_ACTIONS), otherwise="other")
 
 
 def sponsors(names: Column) -> Column:

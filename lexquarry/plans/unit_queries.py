@@ -46,13 +46,13 @@ _VAGUE = ", ".join(f"'{v}'" for v in units.VAGUE)
 
 @query(f"""
 WITH {_X}, a AS (SELECT p_partkey, pos, {_part(1)} AS subject FROM s WHERE {_part(2)} <> '')
-SELECT p_partkey, pos, subject FROM a WHERE length(subject) >= 4 AND lower(subject) NOT IN ({_VAGUE}) AND regexp_matches(subject, '[A-Za-z]')""")
+SELECT p_partkey, pos, subject FROM a WHERE length(subject) >= 4 AND lower(subject) NOT IN ({_VAGUE}) AND NOT regexp_matches(lower(subject), '{'|'.join(units.FRONT_MATTER)}') AND regexp_matches(subject, '[A-Za-z]')""")
 def fit_subjects(t: Tables) -> DataFrame:
     """Units whose subject says who is meant."""
     return rule_actions(t).where(units.fit_subject(F.col("subject"))).select("p_partkey", "pos", "subject")
 
 
-# Controlled keywords by pattern.
+#: Keywords of the example, by pattern.
 KEYWORDS = {"filing": r"\bfile\b", "permit": r"\bpermit\b", "records": r"\brecords?\b", "sale": r"\bs(?:ell|old)\b"}
 
 
@@ -166,8 +166,7 @@ _SECTIONS = f"{_B}, q AS (SELECT p_partkey, unnest(string_split(x, chr(10) || 'S
 
 @query(f"""
 WITH {_SECTIONS}, h AS (SELECT p_partkey, regexp_extract(q, '^(\\d+)\\.', 1)::BIGINT AS number, trim(regexp_replace(q, '^\\d+\\.', '')) AS body FROM q)
-SELECT p_partkey, number, body, CASE WHEN regexp_matches(lower(body), '\\bis (hereby )?repealed\\b') THEN 'repeal' WHEN regexp_matches(lower(body), '\\bis added\\b|by the addition of') THEN 'add' WHEN regexp_matches(lower(body), '\\bis amended\\b') THEN 'amend'
-  WHEN regexp_matches(lower(body), '\\bnew (article|part|section)\\b') THEN 'new' ELSE 'other' END AS action, array_to_string(regexp_extract_all(body, '{legal.CRS}'), '|') AS refs FROM h""")
+SELECT p_partkey, number, body, CASE {' '.join(f"WHEN regexp_matches(lower(substring(body, 1, 1200)), '{p}') THEN '{name}'" for name, p in units.SECTION_ACTIONS)} ELSE 'other' END AS action, array_to_string(regexp_extract_all(body, '{legal.CRS}'), '|') AS refs FROM h""")
 def bill_sections(t: Tables) -> DataFrame:
     """Numbered sections of bills with what they do and cite."""
     q = _bill(t).select("p_partkey", F.explode(text.all_but_first(F.split("x", "\nSECTION "))).alias("q"))
@@ -186,7 +185,7 @@ def bill_sponsors(t: Tables) -> DataFrame:
 @query(f"""
 WITH {_B} SELECT p_partkey, array_to_string(regexp_extract_all(x, '{units.MONEY}'), '|') AS amounts, lower(nullif(regexp_extract(x, '{units.FUND}', 1), '')) AS fund, TRY_CAST(regexp_extract(x, '{units.STAFF}', 1) AS DOUBLE) AS staff FROM b""")
 def bill_money(t: Tables) -> DataFrame:
-    """Amounts, the fund they come from, and posts."""
+    """Amounts, the first fund named, and posts."""
     fund = F.lower(F.nullif(F.regexp_extract("x", units.FUND, 1), F.lit("")))
     return _bill(t).select("p_partkey", F.array_join(F.regexp_extract_all("x", F.lit(units.MONEY), F.lit(0)), "|").alias("amounts"), fund.alias("fund"), F.regexp_extract("x", units.STAFF, 1).try_cast("double").alias("staff"))
 
