@@ -47,7 +47,8 @@ SLOT_TOKENS, LEAST_SLOTS = 1 << 17, 64
 MODEL_BYTES = 128 << 20
 K = 400.0
 HOT = 1 << 19
-WINDOW = 1_000_000
+#: Tokens whose pairs are counted together; a pair of so many occurrences in them is counted over the whole task.
+WINDOW, FREQUENT = 1_000_000, 64
 
 END, START = tx.mix(np.array([0xE0D, 0x57A7], dtype=np.uint64))
 _LEVELS = 64
@@ -112,19 +113,41 @@ def _by_slot(grams: np.ndarray, counts: np.ndarray, size: int, slots: int) -> pa
     )
 
 
+class _Frequent:
+    """Counts of a task's frequent grams, which leave it once and not with every window.
+
+    A window's grams of FREQUENT and more occurrences are few (WINDOW / FREQUENT); what is held is let go at WINDOW grams.
+    """
+
+    def __init__(self) -> None:
+        self.grams, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def rest(self, grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The window's grams without its frequent ones, which are added up."""
+        many = counts >= FREQUENT
+        self.grams, back = np.unique(np.concatenate([self.grams, grams[many]]), return_inverse=True)
+        self.counts = np.bincount(back, weights=np.concatenate([self.counts, counts[many]]), minlength=len(self.grams)).astype(np.int64)
+        return grams[~many], counts[~many]
+
+
 def _pair_counts(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, frequent = [], 0, _Frequent()
         for batch in batches:
             for i, j in tx.slices(batch.column("text")):
                 word, before, _ = _tokens(batch.column("text").slice(i, j - i))
                 held.append(_pair(before, word))
                 size += len(word)
                 if size >= WINDOW:
-                    yield _by_slot(*np.unique(np.concatenate(held), return_counts=True), 2, slots)
+                    yield _by_slot(*frequent.rest(*np.unique(np.concatenate(held), return_counts=True)), 2, slots)
                     held, size = [], 0
+                    if len(frequent.grams) >= WINDOW:
+                        yield _by_slot(frequent.grams, frequent.counts, 2, slots)
+                        frequent = _Frequent()
         if held:
-            yield _by_slot(*np.unique(np.concatenate(held), return_counts=True), 2, slots)
+            yield _by_slot(*frequent.rest(*np.unique(np.concatenate(held), return_counts=True)), 2, slots)
+        if len(frequent.grams):
+            yield _by_slot(frequent.grams, frequent.counts, 2, slots)
 
     return run
 
@@ -168,36 +191,55 @@ def _fill(prints: np.ndarray, counts: np.ndarray, pairs: np.ndarray, per_event:
     return np.packbits(filled, bitorder="little"), stats
 
 
-def _slot_row(slot: int, parts: list[tuple[int, np.ndarray, np.ndarray]], per_event: int) -> pa.RecordBatch:
+def _slot_row(slot: int, size: np.ndarray, grams: np.ndarray, counts: np.ndarray, per_event: int) -> pa.RecordBatch:
     found = []
-    for size in (1, 2):
-        own = [(g, c) for k, g, c in parts if k == size]
-        if own:
-            g, inverse = np.unique(np.concatenate([g for g, _ in own]), return_inverse=True)
-            c = np.bincount(inverse, weights=np.concatenate([c for _, c in own])).astype(np.int64)
-            found.append((g, c, np.full(len(g), size == 2)))
+    for k in (1, 2):
+        own = size == k
+        if own.any():
+            g, inverse = np.unique(grams[own], return_inverse=True)
+            c = np.bincount(inverse, weights=counts[own]).astype(np.int64)
+            found.append((g, c, np.full(len(g), k == 2)))
     packed, stats = _fill(*(np.concatenate([f[k] for f in found]) for k in range(3)), per_event)
-    flat = [(size, *x) for size, rows in stats.items() for x in rows]
+    flat = [(k, *x) for k, rows in stats.items() for x in rows]
     return pa.RecordBatch.from_arrays(
         [pa.array([slot], pa.int32()), pa.array([packed.tobytes()], pa.binary()), *(pa.array([[f[k] for f in flat]], pa.list_(pa.int64())) for k in range(4))],
         names=["slot", "bits", "size", "level", "n", "total"],
     )
 
 
+def _flat(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Slot, size, print and count of every gram of rows of lists, however short the lists are."""
+    lists = batch.column("grams")
+    times = lists.value_lengths().to_numpy(zero_copy_only=False)
+    grams = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
+    return [*(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), times) for c in ("slot", "size")), grams, batch.column("counts").flatten().to_numpy(zero_copy_only=False)]
+
+
+def _runs(of: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    return np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1, [len(of)]])
+
+
 def _build(per_event: int):
-    """From rows sorted by slot: one slot is held at a time."""
+    """From rows sorted by slot: whole slots are built as they end, and the grams of the last one are held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot, parts = None, []
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            for s, size, g, c in zip(batch.column("slot").to_pylist(), batch.column("size").to_pylist(), batch.column("grams"), batch.column("counts"), strict=True):
-                if parts and s != slot:
-                    yield _slot_row(slot, parts, per_event)
-                    parts = []
-                slot = s
-                parts.append((size, g.values.to_numpy().view(np.uint32), c.values.to_numpy()))
-        if parts:
-            yield _slot_row(slot, parts, per_event)
+            new = _flat(batch)
+            if not len(new[0]):
+                continue
+            if held and new[0][-1] == held[0][0][0]:  # still the slot that is held
+                held.append(new)
+                continue
+            slot, size, grams, counts = (np.concatenate(x) for x in zip(*held, new, strict=True))
+            ends = _runs(slot)
+            for i, j in zip(ends[:-2], ends[1:-1], strict=True):
+                yield _slot_row(int(slot[i]), size[i:j], grams[i:j], counts[i:j], per_event)
+            held = [[x[ends[-2] :] for x in (slot, size, grams, counts)]]
+        if held:
+            slot, size, grams, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield _slot_row(int(slot[0]), size, grams, counts, per_event)
 
     return run
 
@@ -322,21 +364,33 @@ def _asked(slots: int):
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by slot, the slot's bits (slice -1) before what is asked of it: levels."""
+    """From rows sorted by slot, the slot's bits (slice -1) before what is asked of it: levels.  The rows of a slot are answered together."""
     slot, data = None, np.zeros(0, np.uint8)
     for batch in batches:
-        out = ([], [], [])
-        for s, name, bits, asked in zip(batch.column("slot").to_pylist(), batch.column("slice").to_pylist(), batch.column("bits"), batch.column("prints"), strict=True):
-            if s != slot:
-                slot, data = s, np.zeros(0, np.uint8)
-            if name < 0:
-                data = np.frombuffer(bits.as_buffer(), np.uint8)
-                continue
-            prints = asked.values.to_numpy().view(np.uint32)
-            levels = _levels(prints, np.full(len(prints), 8 * len(data), np.uint64), data, np.zeros(len(prints), np.int64))
-            for to, x in zip(out, (name, s, levels.tobytes()), strict=True):
-                to.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], names=["slice", "slot", "levels"])
+        slots, names = batch.column("slot").to_numpy(), batch.column("slice").to_numpy()
+        asked = batch.column("prints").fill_null([])
+        times = asked.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        prints = asked.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
+        ends = np.concatenate([[0], np.cumsum(times)])
+        levels = np.zeros(len(prints), np.uint8)
+        cuts = _runs(slots) if len(slots) else []
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if slots[i] != slot:
+                slot, data = slots[i], np.zeros(0, np.uint8)
+            if names[i] < 0:
+                data = np.frombuffer(batch.column("bits")[int(i)].as_buffer(), np.uint8)
+            own = slice(ends[i], ends[j])
+            levels[own] = _levels(prints[own], np.full(ends[j] - ends[i], 8 * len(data), np.uint64), data, np.zeros(ends[j] - ends[i], np.int64))
+        said = np.flatnonzero(names >= 0)  # a slot's bits have no prints, so the levels of the others lie end to end
+        offsets = np.concatenate([[0], np.cumsum(times[said])]).astype(np.int32)
+        answers = pa.Array.from_buffers(pa.binary(), len(said), [None, pa.py_buffer(offsets), pa.py_buffer(levels)])
+        yield pa.RecordBatch.from_arrays([pa.array(names[said]), pa.array(slots[said]), answers], names=["slice", "slot", "levels"])
+
+
+def _bytes(column: pa.Array) -> np.ndarray:
+    """All bytes of a binary column, end to end."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(column) else np.zeros(0, np.uint8)
 
 
 def _score_answered(slots: int, means: np.ndarray, hot, floor: float):
@@ -346,7 +400,7 @@ def _score_answered(slots: int, means: np.ndarray, hot, floor: float):
                 part = pa.RecordBatch.from_arrays([batch.column(c)[k].values for c in _TEXTS], names=list(_TEXTS))
                 x = _Slice(part.column("text"))
                 levels = np.empty(len(x.grams), np.uint8)
-                levels[_in_slots(x.grams, slots)[0]] = np.frombuffer(b"".join(a["levels"] for a in batch.column("answers")[k].as_py()), np.uint8)
+                levels[_in_slots(x.grams, slots)[0]] = _bytes(batch.column("answers")[k].values.field("levels"))
                 yield _scored(part, x, levels, means, hot.value, floor)
 
     return run

@@ -1,9 +1,11 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexquarry.llm import lm_score as lm
@@ -106,3 +108,53 @@ def test_pairs_beat_words_on_held_out_text(spark):
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score_documents(df).count() == 0
+
+
+def lists(slots, grams, counts, each):
+    """Rows of ``each`` grams, sorted by slot."""
+    offsets = pa.array(np.append(np.arange(0, len(grams), each), len(grams)).astype(np.int32))
+    n = len(offsets) - 1
+    return pa.RecordBatch.from_arrays(
+        [pa.array(slots[::each]), pa.array(np.full(n, 2, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(grams.view(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(counts))], names=["slot", "size", "grams", "counts"]
+    )
+
+
+def test_building_does_not_go_by_the_number_of_rows():
+    rng = np.random.default_rng(4)
+    n = 1 << 19
+    slots = np.repeat(np.arange(8, dtype=np.int32), n // 8)
+    grams, counts = rng.integers(0, 1 << 32, n, dtype=np.uint32), rng.integers(1, 5, n)
+    took, built = [], []
+    for each in (512, 1):
+        batch = lists(slots, grams, counts, each)
+        began = time.process_time()
+        built.append([r for x in lm._build(8)(batch.slice(i, 50_000) for i in range(0, len(batch), 50_000)) for r in x.to_pylist()])
+        took.append(time.process_time() - began)
+    assert built[0] == built[1] and len(built[0]) == 8
+    assert took[1] < 2 * took[0] + 0.3
+
+
+def test_frequent_pairs_leave_a_task_once(monkeypatch):
+    monkeypatch.setattr(lm, "WINDOW", 1000)
+    texts = pa.RecordBatch.from_arrays([pa.array(["of the " * 200 + f"w{i}" for i in range(60)])], names=["text"])
+    rows = [r for b in lm._pair_counts(64)(iter([texts])) for r in b.to_pylist()]
+    got = {}
+    entries = Counter()
+    for r in rows:
+        for g, c in zip(r["grams"], r["counts"]):
+            got[r["slot"], g] = got.get((r["slot"], g), 0) + c
+            entries[r["slot"], g] += 1
+    assert sorted(got.values())[-2:] == [60 * 199, 60 * 200]
+    top = sorted(got, key=got.get)[-2:]
+    assert all(entries[k] == 1 for k in top)
+
+
+def test_a_vocabulary_ten_times_as_large_by_either_way(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    docs = [(i, " ".join(f"w{int(x)}" for x in rng.integers(0, 60_000, 400))) for i in range(250)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(lm, "SLOT_TOKENS", 1 << 9)  # few grams of a slice in each slot
+    told = lambda: sorted(tuple(r) for r in lm.score_documents(df).collect())
+    whole = told()
+    monkeypatch.setattr(lm, "MODEL_BYTES", 0)
+    assert told() == whole
