@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from lexquarry.scratch import save
 
 
 def resolve_aliases(aliases: DataFrame) -> DataFrame:
@@ -30,14 +33,44 @@ def merged(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> DataFrame:
     """``left`` with the ``value`` of the last ``right`` row of its key at or before its time.
 
-    Both sides are laid in one order per key and the last value carried on: one shuffle, no pairs.
+    Both sides are laid out in ranges of (key, time), written once; inside a range the last row is carried on, and
+    what a range ends with is handed to the next ones of the same key, so no task holds a key.  A range's end cuts one
+    key at most, so what is handed on is two rows a range at most, and is broadcast.  The last row counts with whatever
+    value it has, null too; of rows of one time the greatest value is the last.  Null keys and times match nothing.
     """
-    rows = left.withColumn("_side", F.lit(1)).withColumn("_value", F.lit(None).cast(right.schema[value].dataType)).unionByName(
-        right.select(key, at, F.lit(0).alias("_side"), F.col(value).alias("_value")), allowMissingColumns=True
-    )
-    order = Window.partitionBy(key).orderBy(at, "_side", "_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = rows.withColumn(value, F.last("_value", ignorenulls=True).over(order))
-    return carried.where("_side = 1").drop("_side", "_value")
+    kind = right.schema[value].dataType
+    own = left.withColumns({"_side": F.lit(1), "_row": F.lit(None).cast(StructType().add("v", kind))})
+    other = right.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(key, at, F.lit(0).alias("_side"), F.struct(F.col(value).alias("v")).alias("_row"))
+    rows = own.unionByName(other, allowMissingColumns=True)
+    ranged = save(rows.repartitionByRange(F.col(key), F.col(at), F.col("_side")).withColumn("_span", F.spark_partition_id()), "as-of")
+    inside = Window.partitionBy("_span", key).orderBy(F.asc_nulls_first(at), "_side", "_row.v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = ranged.withColumn("_last", F.last("_row", ignorenulls=True).over(inside))
+    ends = ranged.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"), F.col("_span").alias("_of")).agg(F.max(F.when(F.col("_side") == 0, F.struct(F.col(at).alias("at"), F.col("_row.v").isNotNull().alias("some"), F.col("_row").alias("row")))).alias("end"))
+    cut = Window.partitionBy("_key")
+    handed = ends.withColumn("spans", F.count("*").over(cut)).where("spans > 1").withColumn("before", F.last("end.row", ignorenulls=True).over(cut.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)))
+    joined = carried.where("_side = 1").join(F.broadcast(handed.select("_key", "_of", "before")), (F.col(key) == F.col("_key")) & (F.col("_span") == F.col("_of")), "left")
+    found = F.when(F.col(key).isNotNull() & F.col(at).isNotNull(), F.coalesce("_last", "before")["v"])
+    return joined.withColumn(value, found).drop("_side", "_row", "_span", "_last", "_key", "_of", "before")
+
+
+def overlaps(left: DataFrame, right: DataFrame, keys: list[str], start: str, end: str, seconds: int) -> DataFrame:
+    """Pairs of rows of equal keys whose intervals [start, end) share a time; columns of ``right`` but the keys get ``_right``.
+
+    Intervals are cut at the ends of bins of so many ``seconds`` (about the length of most of them) and meet in their bins; a pair that meets
+    in several counts in the first that both have.  Empty intervals, and null keys, starts and ends match nothing.
+    """
+    bin_of = lambda c: F.floor(F.unix_seconds(c.cast("timestamp")) / seconds)
+
+    def cut(df: DataFrame) -> DataFrame:
+        real = df.where(F.col(start) < F.col(end)).withColumn("_first", bin_of(F.col(start)))
+        last = F.greatest("_first", bin_of(F.col(end) - F.expr("INTERVAL 1 MICROSECOND")))
+        return real.withColumn("_bin", F.explode(F.sequence(F.col("_first"), last)))
+
+    theirs = right.select(*keys, *(F.col(c).alias(f"{c}_right") for c in right.columns if c not in keys))
+    renamed = cut(theirs.withColumnsRenamed({f"{start}_right": start, f"{end}_right": end})).withColumnsRenamed({start: f"{start}_right", end: f"{end}_right", "_first": "_first_right"})
+    met = cut(left).join(renamed, [*keys, "_bin"])
+    same = (F.col(start) < F.col(f"{end}_right")) & (F.col(f"{start}_right") < F.col(end)) & (F.col("_bin") == F.greatest("_first", "_first_right"))
+    return met.where(same).drop("_bin", "_first", "_first_right")
 
 
 def keyword_rules(df: DataFrame, key: str, normal: Column, rules: dict[str, tuple[tuple[str, ...], float]]) -> DataFrame:

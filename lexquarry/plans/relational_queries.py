@@ -87,6 +87,16 @@ def version_asof_match(t: Tables) -> DataFrame:
     return joins.as_of(left, right, "user_id", "at", "o_orderkey").select("event_id", "user_id", "o_orderkey")
 
 
+@query("""
+WITH o AS (SELECT o_custkey, o_orderkey, o_orderdate AS a, o_orderdate + INTERVAL 20 DAY AS b FROM orders)
+SELECT x.o_custkey, x.o_orderkey AS first_order, y.o_orderkey AS second_order FROM o x JOIN o y ON x.o_custkey = y.o_custkey AND x.o_orderkey < y.o_orderkey AND x.a < y.b AND y.a < x.b""")
+def overlapping_orders(t: Tables) -> DataFrame:
+    """Orders of a customer whose first twenty days overlap."""
+    spans = t.orders.select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("a"), (F.col("o_orderdate") + F.expr("INTERVAL 20 DAYS")).alias("b"))
+    pairs = joins.overlaps(spans, spans, ["o_custkey"], "a", "b", 20 * 86400)
+    return pairs.where("o_orderkey < o_orderkey_right").select("o_custkey", F.col("o_orderkey").alias("first_order"), F.col("o_orderkey_right").alias("second_order"))
+
+
 @query("""
 WITH o AS (SELECT o_custkey AS k, count(*)::BIGINT AS orders FROM orders GROUP BY 1), e AS (SELECT user_id AS k, count(*)::BIGINT AS events FROM events GROUP BY 1),
      j AS (SELECT coalesce(c.c_custkey, o.k, e.k) AS k, c.c_custkey IS NOT NULL AS known, coalesce(orders, 0) AS orders, coalesce(events, 0) AS events
