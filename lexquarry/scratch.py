@@ -25,6 +25,7 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _local: dict[str, str] = {}
 _written: dict[str, SparkSession] = {}
 _path_of: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_named: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -71,8 +72,25 @@ def save(df: DataFrame, label: str = "step") -> DataFrame:
     return out
 
 
+def save_bucketed(df: DataFrame, keys: list[str], buckets: int | None = None, label: str = "bucketed") -> DataFrame:
+    """As :func:`save`, as a table whose rows lie in buckets of ``keys``, sorted by them: joins and groups by all ``keys`` shuffle it no more.
+
+    There are as many buckets as the session has shuffle partitions, so that what is shuffled to meet them fits too.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with small_batches(spark):
+        df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    _named[path] = name
+    out = spark.table(name)
+    _path_of[out] = path
+    return out
+
+
 def drop(*tables: DataFrame) -> None:
-    """Delete tables of :func:`save` that nothing will read again; others are left alone."""
+    """Delete tables of :func:`save` and :func:`save_bucketed` that nothing will read again; others are left alone."""
     for df in tables:
         path = _path_of.pop(df, None)
         if path:
@@ -80,14 +98,16 @@ def drop(*tables: DataFrame) -> None:
 
 
 def clear() -> None:
-    """Delete every table that :func:`save` has written in this process."""
+    """Delete every table that this module has written in this process."""
     for path in list(_written):
         _delete(path)
 
 
 def _delete(path: str) -> None:
-    spark = _written.pop(path, None)
+    spark, name = _written.pop(path, None), _named.pop(path, None)
     try:
+        if name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
     except Exception:  # the session has ended; the folder goes with the application
