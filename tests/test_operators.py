@@ -137,6 +137,32 @@ def test_nearest_vectors_match_brute_force(spark, monkeypatch):
         assert {(r.query, r.key): r["rank"] for r in got} == want
 
 
+def test_cells_find_nearly_all_and_all_probes_find_all(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(20, 16))
+    v = (centre[rng.integers(0, 20, 3000)] + 0.6 * rng.normal(size=(3000, 16))).astype(np.float32)
+    v[:1000] = v[0]  # a third of all rows alike
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(5000, None), (5050, [])]
+    df = spark.createDataFrame(rows, "id long, e array<float>").repartition(3)
+    asked = df.where("id % 50 = 0")
+    exact = {(r.query, r.key): r["rank"] for r in vectors.cosine_topk(asked, df, "id", "e", 10).collect()}
+    assert len(exact) == 60 * 10
+    for run, block in ((20_000, 4096), (150, 7)):  # cells of one run and of several
+        monkeypatch.setattr(vectors, "RUN", run)
+        monkeypatch.setattr(vectors, "BLOCK", block)
+        whole = {(r.query, r.key): r["rank"] for r in vectors.nearest(asked, df, "id", "e", 10, cells=16, probes=16).collect()}
+        assert whole == exact
+    placed, centres = vectors.build_cells(df, "id", "e", 32)
+    probes = vectors.fit_probes(asked.where("id < 4000").select(F.col("id").alias("key"), F.col("e").alias("v")), placed, centres, 10, 0.93)
+    assert 1 <= probes <= 16  # grouped vectors need few of the 32 cells
+    part = {(r.query, r.key) for r in vectors.nearest(asked, df, "id", "e", 10, cells=32).collect()}
+    assert len(part & set(exact)) >= 0.9 * len(exact)
+    assert vectors.nearest(asked, df.where("id < 0"), "id", "e", 10).count() == 0
+    assert vectors.nearest(asked.where("id < 0"), df, "id", "e", 10).count() == 0
+    placed, centres = vectors.build_cells(df, "id", "e", 8)
+    assert placed.count() == 3000 and len(centres) == 8
+
+
 def test_functions_of_our_own(spark):
     pairs = [("abcd", "bcde"), ("", ""), ("x", None), ("same", "same")]
     got = [r.s for r in spark.createDataFrame(pairs, "a string, b string").select(udfs.similarity_ratio("a", "b").alias("s")).collect()]
