@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -91,3 +92,73 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert li.identify_corpus(docs, pages).count() == 0
+
+
+def _plain_fusion(rows, profiles):
+    """Language, probability and number of grams of (key, text, declared, suffix, host), a row at a time."""
+    table, langs = profiles.table.astype(float), profiles.langs
+    k = len(langs)
+
+    def evidence(value):
+        low = [x + 32 if 65 <= x <= 90 else x for x in (value or "").encode()]
+        low = [x if 97 <= x <= 122 or x >= 128 else 32 for x in low]
+        at = [(((a << 16 | b << 8 | c) * 2654435761) & 0xFFFFFFFF) >> 16 for a, b, c in zip(low, low[1:], low[2:], strict=False) if b != 32]
+        return len(at), [sum(table[i][j] for i in at) / max(len(at), 1) * min(len(at), li.CREDIT) for j in range(k)]
+
+    def normal(scores):
+        powers = [math.exp(s - max(scores)) for s in scores]
+        return [p / sum(powers) for p in powers]
+
+    def pooled(counts, prior):
+        return [(max(n, 0.0) + li.STRENGTH * p) / (sum(counts) + li.STRENGTH) for n, p in zip(counts, prior, strict=True)]
+
+    def added(groups, key, values):
+        groups[key] = [a + b for a, b in zip(groups.get(key, [0.0] * k), values, strict=True)]
+
+    flat = [math.log((1 - li.UND_PRIOR) / (k - 1))] * (k - 1) + [math.log(li.UND_PRIOR)]
+    seen, by_host, by_suffix, by_declared = [], {}, {}, {}
+    for key, value, declared, suffix, host in rows:
+        declared = (declared or "").strip(" ").split("-")[0].lower()
+        suffix, host = (suffix or "").lower(), (host or "").lower()
+        n, e = evidence(value)
+        soft = normal([a + b for a, b in zip(e, flat, strict=True)]) if n else [0.0] * k
+        seen.append((key, declared, suffix, host, n, e, soft))
+        for groups, name in ((by_host, (host, suffix)), (by_suffix, suffix), (by_declared, declared)):
+            added(groups, name, soft)
+    total = [sum(c[j] for c in by_suffix.values()) for j in range(k)]
+    share = [(x + 1e-3) / (sum(total) + 1e-3 * k) for x in total]
+    out = {}
+    for key, declared, suffix, host, n, e, soft in seen:
+        suffix_p = pooled(by_suffix[suffix], share)
+        others = [max(a - b, 0.0) for a, b in zip(by_host[host, suffix], soft, strict=True)]
+        prior = pooled(others, suffix_p)
+        given = lambda counts, j: math.log((counts[j] + 0.5) / (total[j] + 0.5 * (li.VALUES + 1)))
+        scores = [e[j] + given(by_declared[declared], j) + given(by_suffix[suffix], j) + math.log(share[j]) + math.log(prior[j]) - math.log(suffix_p[j]) for j in range(k)]
+        scores[-1] += math.log(li.UND_PRIOR)
+        p = normal(scores)
+        best = p.index(max(p))
+        out[key] = (langs[best], p[best], langs[e.index(max(e))], declared or None, n, langs[best] == li.UND)
+    return out
+
+
+def test_fusion_matches_brute_force(spark):
+    rng = random.Random(8)
+    langs = list(STOCK)
+    rows = [
+        (i, text(rng, rng.choice(langs), rng.choice([0, 1, 2, 12])), rng.choice([*langs, "EN-gb", " de ", "xx", None]), rng.choice(["fr", "DE", "com", None]), rng.choice(["a.example", "b.example", "B.example", None]))
+        for i in range(160)
+    ]
+    rows += [(500, None, None, None, None), (501, "", "fr", "fr", "a.example"), (502, "123 -- 45", "en", "com", "lone.example"), (503, "İÉß " * 3000, "de", "com", "a.example"), (504, "the\x00the", None, "", "")]
+    fit = spark.createDataFrame([(text(rng, x, 30), x) for x in langs for _ in range(20)], "text string, lang string")
+    profiles = li.fit_profiles(fit)
+    df = spark.createDataFrame(rows, "key long, text string, declared string, suffix string, host string").repartition(3)
+    got = {r.key: r for r in li.identify(df, profiles, ["key"], "text", "declared", "suffix", "host").collect()}
+    want = _plain_fusion(rows, profiles)
+    assert set(got) == set(want)
+    for key, (language, probability, by_text, declared, n, rejected) in want.items():
+        r = got[key]
+        assert abs(r.probability - probability) < 1e-5 and (r.declared, r.n_grams) == (declared, n), key
+        if probability > 0.51:  # below, two may be alike
+            assert (r.language, r.rejected) == (language, rejected), key
+        if n:
+            assert r.text_language == by_text, key
