@@ -38,8 +38,9 @@ _RESULT = "doc_id long, size long, text_crc32 long, law string, shard int, slot
 
 def _packed(*parts: np.ndarray) -> np.ndarray:
     """Keys as bytes that sort like the tuples of signed longs."""
-    flipped = [(p.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8") for p in parts]
-    return np.ascontiguousarray(np.stack(flipped, axis=1)).view(f"S{8 * len(parts)}").ravel()
+    flipped = [p.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63) for p in parts]
+    whole = np.stack(flipped, axis=1).astype(">u8")  # after stacking, which gives the machine's own byte order
+    return np.ascontiguousarray(whole).view(f"S{8 * len(parts)}").ravel()
 
 
 def _range_of(splitters: np.ndarray) -> Column:
