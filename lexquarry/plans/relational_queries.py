@@ -37,9 +37,11 @@ WITH m AS (SELECT l_orderkey AS k, arg_max(l_linestatus, (l_shipdate, l_linenumb
      q AS (SELECT o_orderkey AS k, o_orderstatus AS status, o_orderpriority AS priority FROM orders WHERE o_totalprice > 100000)
 SELECT coalesce(q.k, m.k) AS record_id, coalesce(q.status, m.status) AS status, priority, n_lines FROM q FULL JOIN m ON q.k = m.k""")
 def queue_manifest_full_outer(t: Tables) -> DataFrame:
-    manifest = t.lineitem.where("l_shipdate >= DATE'1995-06-01'").groupBy(F.col("l_orderkey").alias("record_id")).agg(
-        F.max_by("l_linestatus", F.struct("l_shipdate", "l_linenumber")).alias("status"), F.count("*").alias("n_lines")
-    )
+    lines = t.lineitem.where("l_shipdate >= DATE'1995-06-01'").select("*", "_metadata.file_path", "_metadata.row_index")
+    # of lines of the latest day and number, the first in the table; lines without a status give none
+    latest = F.struct(-F.unix_micros(F.col("l_shipdate").cast("timestamp")), -F.col("l_linenumber"), "file_path", "row_index")
+    status = F.min_by("l_linestatus", F.when(F.col("l_linestatus").isNotNull(), latest))
+    manifest = lines.groupBy(F.col("l_orderkey").alias("record_id")).agg(status.alias("status"), F.count("*").alias("n_lines"))
     queue = t.orders.where("o_totalprice > 100000").select(F.col("o_orderkey").alias("record_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
     return joins.merged(queue, manifest, "record_id")
 

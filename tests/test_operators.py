@@ -212,3 +212,23 @@ def test_no_item_behind_the_first_is_lost(spark):
 
     df = spark.createDataFrame([("a" + "|b" * 10_001,), ("a",), ("",), (None,)], "x string")
     assert [r.n for r in df.select(F.size(text.all_but_first(F.split("x", r"\|"))).alias("n")).collect()][:3] == [10_001, 0, 0]
+
+
+def test_the_first_of_equal_lines_gives_the_status(spark, tmp_path):
+    """Lines of one order, day and number: the SQL takes the first in the table that has a status."""
+    import duckdb
+
+    from lexquarry.plans.catalog import ORACLES, QUERIES
+
+    flags = {1: "FO", 2: "OF", 3: [None, "F", "O"], 4: "OFOFO", 5: [None]}
+    lines = [(k, 1 if k < 4 else 2, f, "1996-01-01 00:00:00") for k, own in flags.items() for f in own] + [(4, 1, "F", "1996-01-01 07:00:00"), (4, 1, "O", "1996-01-01 07:00:00")]
+    made = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_linestatus string, day string").coalesce(1)
+    made.withColumn("l_shipdate", F.col("day").cast("timestamp")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(9, "P", 2e5, "high")], "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    for t in ("lineitem", "orders"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    name = "queue_manifest_full_outer"
+    got = QUERIES[name](spark, str(tmp_path)).select("record_id", "status", "priority", "n_lines").collect()
+    assert sorted(map(tuple, got)) == sorted(con.sql(ORACLES[name]).fetchall())
+    assert {r.record_id: r.status for r in got} == {1: "F", 2: "O", 3: "F", 4: "F", 5: None, 9: "P"}
