@@ -5,9 +5,10 @@ links folded in), held as arrays and broadcast.  Texts are cut into lanes that o
 the longest term and all lanes of a batch move on by one byte together, so that the time
 goes by the bytes of text and not by the number of terms.
 
-A larger set of terms is split by each term's rarest three bytes: texts send the places of
-only those triples that stand for a term, which is told by a bitmap of the 2^24 triples, and
-meet the terms in a join, whose candidates are then looked at.  Both ways give the same rows.
+A larger set of terms is joined: for each length of the terms, texts look up the hashes of
+their windows of that length in a Bloom filter of all terms, and windows that may be terms
+meet the terms themselves in a join, byte by byte, with their counts and first places.  What
+is shuffled thus follows the matches.  Both ways give the same rows.
 
 Defined cases: null and empty terms match nothing; a null text has no matches; equal terms
 of several ids match for each id; texts and terms are taken as they are (normalise both
@@ -29,8 +30,10 @@ from lexquarry.scratch import save
 
 #: Bytes of an automaton that is broadcast; beyond it, terms are joined.
 AUTOMATON_BYTES = 64 << 20
-#: Bytes of a lane of text, bytes of text that move on together, and parts over which the rows of a triple are dealt.
+#: Bytes of a lane of text, bytes of text that move on together, and parts over which the rows of a term are dealt.
 LANE, SLICE, PARTS = 512, 1 << 21, 16
+#: Bits of the filter for each term, and the logarithms of its fewest and most bits; terms longer than PREFIX bytes are sought by so many first.
+FILTER_BITS, LEAST_LOG, MOST_LOG, PREFIX = 32, 16, 28, 64
 
 #: Bytes that make up words: letters, digits, the underscore and all that is not ASCII.
 _WORD = np.zeros(256, dtype=bool)
@@ -192,76 +195,124 @@ def _by_automaton(shared):
     return run
 
 
-def _triples(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's distinct runs of three bytes: text and triple."""
-    if len(raw) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    triple = (raw[:-2].astype(np.int64) << 16) | (raw[1:-1].astype(np.int64) << 8) | raw[2:]
-    at = np.arange(len(triple))
-    text = np.searchsorted(offsets, at, "right") - 1
-    fits = at + 2 < offsets[1:][text]
-    pairs = np.unique((text[fits] << 24) | triple[fits])
-    return pairs >> 24, pairs & 0xFFFFFF
+#: A number for each byte, an odd base and its inverse modulo 2^64, for hashes of windows from running sums.
+_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _triple_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i, j in _slices(_utf8(batch.column(0))[1]):
-            triple, n = np.unique(_triples(*_utf8(batch.column(0).slice(i, j - i)))[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(triple.astype(np.int32)), pa.array(n, pa.int64())], names=["triple", "n"])
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
-def _triples_of(shared=None):
-    """Rows' distinct triples, of those only whose bit is set if a bitmap is given."""
+def _running(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of the bytes' numbers times powers of the base, and the inverse powers."""
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * _powers(_BASE, len(raw)), out=sums[1:])
+    return sums, _powers(_INVERSE, len(raw) + 1)
+
+
+def _places(sums: np.ndarray, inverse: np.ndarray, first: np.ndarray, size, log: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of windows in a filter of 2^log bits."""
+    h = (sums[first + size] - sums[first]) * inverse[first] + np.asarray(size, np.uint64)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    other = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h >> np.uint64(64 - log), other >> np.uint64(64 - log)
+
+
+def _filter_words(log: int):
+    """Terms to the filter's words (``at``, 64 bits each) that have their bits, and those of their first PREFIX bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if shared is None else np.unpackbits(shared.value).view(bool)
+        for batch in batches:
+            raw, offsets = _utf8(batch.column(0))
+            sums, inverse = _running(raw)
+            size = np.diff(offsets)
+            long = size > PREFIX
+            first, size = np.concatenate([offsets[:-1], offsets[:-1][long]]), np.concatenate([size, np.full(long.sum(), PREFIX)])
+            place = np.concatenate(_places(sums, inverse, first, size, log))
+            yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (place & np.uint64(63))).view(np.int64))], names=["at", "bits"])
+
+    return run
+
+
+def _coded(raw: np.ndarray, first: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
+    """The distinct windows that begin at ``first``, and the number of each one's; a SLICE of their bytes at once."""
+    number: dict[bytes, int] = {}
+    codes, step = [], max(1, SLICE // size)
+    for k in range(0, len(first), step):
+        some = first[k : k + step]
+        laid = pa.py_buffer(raw[(some[:, None] + np.arange(size)).ravel()].tobytes())
+        coded = pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), len(some), [None, laid]).dictionary_encode()
+        own = np.array([number.setdefault(w, len(number)) for w in coded.dictionary.to_pylist()], np.int64)
+        codes.append(own[coded.indices.to_numpy()])
+    return pa.array(list(number), pa.binary()), np.concatenate(codes)
+
+
+def _windows(shared, sizes: dict[bool, list[int]], log: int):
+    """Texts to the windows that may be terms: ``key, window, whole, n, first``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: np.ndarray = shared.value
+
+        def may(sums: np.ndarray, inverse: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+            one, two = _places(sums, inverse, first, size, log)
+            hit = np.ones(len(first), bool)
+            for place in (one, two):
+                hit &= ((words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+            return first[hit]
+
         for batch in batches:
             for i, j in _slices(_utf8(batch.column(1))[1]):
                 part = batch.slice(i, j - i)
-                text, triple = _triples(*_utf8(part.column(1)))
-                if bits is not None:
-                    text, triple = text[bits[triple]], triple[bits[triple]]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text)), pa.array(triple.astype(np.int32))], names=["row", "triple"])
+                raw, offsets = _utf8(part.column(1))
+                sums, inverse = _running(raw)
+                text_of = np.repeat(np.arange(len(part)), np.diff(offsets))
+                end_of = offsets[1:][text_of]
+                inside = _WORD[raw]
+                opens = np.ones(len(raw), bool)  # may a whole word begin here, or end before here?
+                opens[1:] = ~inside[:-1]
+                opens[offsets[:-1][offsets[:-1] < len(raw)]] = True
+                for whole in (True, False):
+                    starts = np.flatnonzero(opens) if whole else np.arange(len(raw))
+                    reach = starts + PREFIX <= end_of[starts]
+                    begun = may(sums, inverse, starts[reach], PREFIX) if any(n > PREFIX for n in sizes[whole]) else starts[:0]
+                    for size in sizes[whole]:
+                        first = begun if size > PREFIX else starts
+                        first = first[first + size <= end_of[first]]
+                        if whole:
+                            last = first + size
+                            first = first[(last == end_of[first]) | ~inside[np.minimum(last, len(raw) - 1)]]
+                        first = may(sums, inverse, first, size)
+                        if not len(first):
+                            continue
+                        distinct, codes = _coded(raw, first, size)
+                        text, number, n, place = _counted(text_of[first], first, codes, raw, offsets)
+                        window = distinct.take(pa.array(number))
+                        yield pa.RecordBatch.from_arrays(
+                            [part.column(0).take(pa.array(text)), window, pa.array(np.full(len(n), whole)), pa.array(n, pa.int64()), pa.array(place, pa.int64())],
+                            names=["key", "window", "whole", "n", "first"],
+                        )
 
     return run
 
 
-def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of each text's candidates."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            raw = (batch.column(1)[i].as_py() or "").encode()
-            out = []
-            for c in batch.column(2)[i].as_py():
-                term, at, n, first = c["term"].encode(), -1, 0, 0
-                while (at := raw.find(term, at + 1)) >= 0:
-                    before, after = raw[at - 1] if at else 0x20, raw[at + len(term)] if at + len(term) < len(raw) else 0x20
-                    if not c["whole"] or not (_WORD[before] or _WORD[after]):
-                        n, first = n + 1, first or len(raw[:at].decode()) + 1
-                if n:
-                    out.append((c["term_id"], n, first))
-            if out:
-                term_id, n, first = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * len(out))), pa.array(term_id, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.int64())], names=["key", "term_id", "n", "first"])
-
-
-def _by_join(rows: DataFrame, terms: DataFrame, schema: str) -> DataFrame:
+def _by_join(rows: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     spark = rows.sparkSession
-    texts = save(rows.withColumn("row", F.monotonically_increasing_id()), "texts")
-    counts = texts.select("text").mapInArrow(_triple_counts, "triple int, n long").groupBy("triple").agg(F.sum("n").alias("n"))
-    own = terms.select(F.col("term_id").alias("row"), "term").mapInArrow(_triples_of(), "row long, triple int")
-    rarest = own.join(counts, "triple", "left").groupBy("row").agg(F.min_by("triple", F.struct(F.coalesce("n", F.lit(0)), "triple")).alias("triple"))
-    keyed = save(terms.join(rarest.withColumnRenamed("row", "term_id"), "term_id"), "keyed")
-    words = keyed.groupBy(F.shiftright("triple", 3).alias("at")).agg(F.bit_or(F.expr("shiftright(128, triple & 7)")).alias("bits"))
-    bits = np.zeros(1 << 21, np.uint8)  # as many rows at most
-    got = words.toArrow()
-    bits[got.column("at").to_numpy()] = got.column("bits").to_numpy().astype(np.uint8)
-    sent = texts.select("row", "text").mapInArrow(_triples_of(spark.sparkContext.broadcast(bits)), "row long, triple int")
-    dealt = sent.withColumn("part", F.pmod("row", F.lit(PARTS)))
-    copied = keyed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
-    met = dealt.join(copied, ["triple", "part"]).groupBy("row").agg(F.collect_list(F.struct("term_id", "term", "whole")).alias("candidates"))
-    return texts.join(met, "row").select("key", "text", "candidates").mapInArrow(_look, schema)
+    lengths = terms.groupBy("whole", F.octet_length("term").alias("size")).agg(F.count("*").alias("n")).collect()  # a row for each length
+    sizes = {whole: sorted(r["size"] for r in lengths if r.whole == whole) for whole in (True, False)}
+    log = min(MOST_LOG, max(LEAST_LOG, (FILTER_BITS * sum(r.n for r in lengths)).bit_length()))
+    words = np.zeros(1 << (log - 6), np.uint64)  # as many rows at most
+    got = terms.select("term").mapInArrow(_filter_words(log), "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words[got.column("at").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    schema = f"key {key}, window binary, whole boolean, n long, first long"
+    found = rows.mapInArrow(_windows(spark.sparkContext.broadcast(words), sizes, log), schema)
+    dealt = found.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(PARTS)))
+    own = terms.select("term_id", F.col("term").cast("binary").alias("window"), "whole")
+    copied = own.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    return dealt.join(copied, ["window", "whole", "part"]).select("key", "term_id", "n", "first")
 
 
 def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame, limit: int = AUTOMATON_BYTES) -> DataFrame:
@@ -279,9 +330,7 @@ def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame, limit: int
     classes = own.select(F.explode(F.regexp_extract_all(F.hex("term"), F.lit(".."), F.lit(0)))).distinct().count() + 1
     if states * classes * 4 <= limit:
         return rows.mapInArrow(_by_automaton(_shared(own)), schema)
-    short, long = own.where(size < 3), save(own.where(size >= 3), "terms")
-    found = _by_join(rows, long, schema)
-    return found.unionByName(rows.mapInArrow(_by_automaton(_shared(short)), schema))  # terms of one or two bytes; their ids are a list
+    return _by_join(rows, own, rows.schema["key"].dataType.simpleString())
 
 
 def _shared(terms: DataFrame):

@@ -98,3 +98,20 @@ def test_speed_does_not_go_by_the_number_of_terms():
         patterns.occurrences(auto, raw, offsets)
         took.append(time.process_time() - began)
     assert took[1] < 15 * took[0] + 1
+
+
+def test_joined_terms_send_only_what_matches(spark):
+    """Terms that share their rarest triple do not meet every text, and no text is shuffled; long terms and equal ones are found."""
+    import random
+
+    rng = random.Random(2)
+    long = "é" * 40 + " tail " + "x" * 30
+    terms = [(i, f"the{i:04d}", True) for i in range(500)] + [(900, "the", False), (901, "the", False), (902, long, True), (903, long[:39], False), (904, "a", True), (905, "z.", False)]
+    texts = [(i, " ".join(rng.choice(["the0007", "the", "other", "thethe", "a", "z.", long, "the0499x", "é"]) for _ in range(rng.randrange(0, 40)))) for i in range(200)]
+    df = spark.createDataFrame([*texts, (None, "the a"), (999, None)], "id long, body string")
+    given = spark.createDataFrame(terms, "term_id long, term string, whole boolean")
+    joined = patterns.match_terms(df, "id", "body", given, limit=0)
+    rows = lambda found: sorted(map(tuple, found.collect()), key=str)
+    assert rows(joined) == rows(patterns.match_terms(df, "id", "body", given)) != []
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "candidates" not in plan and plan.count("MapInArrow") == 1
