@@ -1,7 +1,7 @@
 """Ranked search that is served by an index.
 
 The index is a set of published tables (:mod:`lexquarry.sources.published`).  Chunks are laid
-out in the order of their keys and numbered in blocks of BLOCK rows.  ``postings`` holds, for
+out in the order of their keys, which shuffles them once, and numbered in blocks of BLOCK rows.  ``postings`` holds, for
 each token and block, the rows that hold the token, how often, and the greatest of these counts.
 It is partitioned by the token's bucket and sorted by token, so that a request reads the
 buckets of its own tokens and of these the row groups that hold them.
@@ -26,8 +26,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.functions.text import normalize
@@ -39,16 +41,20 @@ from lexquarry.sources.published import Table, Version, current, publish
 BLOCK, BUCKETS, LEAST, LONGEST, MOST = 4096, 64, 3, 64, 12
 #: Rows whose blocks are scored first, for each row asked for; up to so many blocks are named in the plan, more are joined.
 FIRST, NAMED = 4, 1000
+#: Texts of so many characters are searched for each of their words.
+_SHORT = 12_000
 
 
 def occurrences(normal: str) -> dict[str, int]:
     """Each distinct word of LEAST to LONGEST letters, with how often it occurs in the text, inside longer words too (not overlapping, up to MOST).
 
-    Words are broken into substrings that are looked up among the words, so the work follows the length of
-    the text and not the square of its vocabulary.
+    Words of longer texts are broken into substrings that are looked up among the words, so the work follows the
+    length of the text and not the square of its vocabulary.
     """
     words = Counter(normal.split(" "))
     tokens = {w: 0 for w in words if LEAST <= len(w) <= LONGEST}
+    if len(normal) <= _SHORT:
+        return {w: min(normal.count(w), MOST) for w in tokens}
     sizes = sorted({len(w) for w in tokens})
     for word, n in words.items():
         seen = set()
@@ -63,16 +69,53 @@ def occurrences(normal: str) -> dict[str, int]:
     return {w: min(n, MOST) for w, n in tokens.items()}
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        block, at, token, n = [], [], [], []
-        for b, a, normal in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            found = occurrences(normal.as_py() or "")
-            token += found
-            n += found.values()
-            block += [b] * len(found)
-            at += [a] * len(found)
-        yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(at, pa.int32()), pa.array(token, pa.string()), pa.array(n, pa.int32())], names=["block", "at", "token", "n"])
+def _posted(rows: int, number: int, most: int = 1 << 22):
+    """Rows of ``key, kinds..., __norm`` in order to their places (``block, at, key, kinds...``) and, behind each block, its postings.
+
+    A block lies in one task, so that its postings are made there and nothing but these is shuffled.  A block with
+    more than ``most`` of them has a token's postings in several rows, which add up as those of several blocks do.
+    """
+
+    def lists(block: int, token: list[str], at: list[int], n: list[int]) -> dict[str, pa.Array]:
+        coded = pa.array(token, pa.string()).dictionary_encode()
+        codes = coded.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        ats, ns = np.array(at, np.int32)[order], np.array(n, np.int32)[order]
+        size = np.bincount(codes, minlength=len(coded.dictionary))
+        first = np.cumsum(size) - size
+        offsets = pa.array(np.append(first, len(codes)).astype(np.int32))
+        listed = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(ats), pa.array(ns)], ["at", "n"]))
+        return {"block": pa.array(np.full(len(size), block, np.int64)), "token": coded.dictionary, "most": pa.array(np.maximum.reduceat(ns, first)), "n": pa.array(size.astype(np.int32)), "rows": listed}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin = (number << 48) + (TaskContext.get().partitionId() << 28)
+        done, token, at, n = 0, [], [], []
+        schema = None
+
+        def filled(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+            size = len(columns["block"])
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in schema], schema=schema)
+
+        for batch in batches:
+            given = batch.schema.remove(batch.schema.get_field_index("__norm"))
+            posting = [pa.field("token", pa.string()), pa.field("most", pa.int32()), pa.field("n", pa.int32()), pa.field("rows", pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())])))]
+            schema = pa.schema([pa.field("block", pa.int64()), pa.field("at", pa.int32()), *(pa.field(f"c{i}", f.type) for i, f in enumerate(given)), *posting])
+            place = np.arange(done, done + len(batch))
+            places = {"block": pa.array(begin + place // rows), "at": pa.array((place % rows).astype(np.int32))}
+            yield filled(places | {f"c{i}": batch.column(f.name) for i, f in enumerate(given)})
+            for normal in batch.column("__norm"):
+                if token and (done % rows == 0 or len(token) > most):
+                    yield filled(lists(begin + (done - 1) // rows, token, at, n))
+                    token, at, n = [], [], []
+                found = occurrences(normal.as_py() or "")
+                token += found
+                n += found.values()
+                at += [done % rows] * len(found)
+                done += 1
+        if token:
+            yield filled(lists(begin + (done - 1) // rows, token, at, n))
+
+    return run
 
 
 def _bucket(token: Column | str) -> Column:
@@ -82,25 +125,22 @@ def _bucket(token: Column | str) -> Column:
 def _segment(chunks: DataFrame, key: str, text: str, kinds: list[str], number: int) -> tuple[dict[str, Table], DataFrame]:
     """The tables of one segment; block numbers hold the segment's number, so that blocks of segments differ."""
     rows = chunks.select(F.col(key).alias("key"), *(F.col(c) for c in kinds), normalize(text).alias("__norm"))
-    ranged = save(rows.repartitionByRange("key").withColumn("__span", F.spark_partition_id()), "ranged")
-    place = F.row_number().over(Window.partitionBy("__span").orderBy("key")) - 1
-    block = F.lit(number << 48) + F.col("__span").cast("long") * (1 << 28) + F.floor(place / BLOCK)
-    placed = save(ranged.withColumns({"block": block.cast("long"), "at": (place % BLOCK).cast("int")}), "placed")
-    drop(ranged)
-    posted = placed.select("block", "at", "__norm").mapInArrow(_tokens, "block long, at int, token string, n int")
-    grouped = posted.groupBy("token", "block").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("rows"))  # BLOCK rows at most
-    postings = grouped.select("token", "block", F.array_max(F.transform("rows", lambda r: r["n"])).alias("most"), F.size("rows").alias("n"), "rows", _bucket("token").alias("bucket"))
-    docs = placed.select("block", "at", "key", *kinds)
+    names = ["key", *kinds]
+    given = ", ".join(f"c{i} {rows.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
+    ranged = rows.repartitionByRange("key", F.xxhash64("__norm")).sortWithinPartitions("key")
+    made = save(ranged.mapInArrow(_posted(BLOCK, number), f"block long, at int, {given}, token string, most int, n int, rows array<struct<at:int,n:int>>"), "posted")
+    postings = made.where("token IS NOT NULL").select("token", "block", "most", "n", "rows", _bucket("token").alias("bucket"))
+    docs = made.where("at IS NOT NULL").select("block", "at", *(F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
     by_token = lambda df: df.repartitionByRange("bucket", "token", "block").sortWithinPartitions("bucket", "token", "block").write.partitionBy("bucket")
     by_block = lambda df: df.repartitionByRange("block").sortWithinPartitions("block", "at").write
-    return {f"postings-{number}": Table(postings, laid_out=by_token), f"docs-{number}": Table(docs, laid_out=by_block)}, placed
+    return {f"postings-{number}": Table(postings, laid_out=by_token), f"docs-{number}": Table(docs, laid_out=by_block)}, made
 
 
 def build_index(chunks: DataFrame, folder: str, key: str, text: str, kinds: list[str] | None = None) -> Version:
     """Publish an index of all chunks, in place of one that is there; ``kinds`` are columns to rank by and to give back."""
-    tables, placed = _segment(chunks, key, text, kinds or [], 0)
+    tables, made = _segment(chunks, key, text, kinds or [], 0)
     version = publish(chunks.sparkSession, folder, tables, carry=False)
-    drop(placed)
+    drop(made)
     return version
 
 
@@ -110,12 +150,12 @@ def update_index(changed: DataFrame, folder: str, key: str, text: str, removed:
     before = current(spark, folder)
     number = max(_segments(before)) + 1
     kinds = [c for c in before.table("docs-0").columns if c not in ("block", "at", "key")]
-    tables, placed = _segment(changed, key, text, kinds, number)
+    tables, made = _segment(changed, key, text, kinds, number)
     keys = changed.select(F.col(key).alias("key"))
     keys = keys if removed is None else keys.unionByName(removed.select(F.col(key).alias("key")))
     tables[f"gone-{number}"] = Table(keys.where("key IS NOT NULL").distinct())
     version = publish(spark, folder, tables, after=before)
-    drop(placed)
+    drop(made)
     return version
 
 

@@ -110,3 +110,34 @@ def test_occurrences_of_words_inside_words():
         text = " ".join("".join(rng.choice("ab") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(0, 40)))
         assert si.occurrences(text) == {w: min(text.count(w), 12) for w in set(text.split()) if len(w) >= 3}
     assert si.occurrences("x" * 65 + " xxx") == {"xxx": 12}
+
+
+def test_short_and_long_texts_count_alike(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice([*WORDS, "aaa", "aaaaaaa", "ab"]) for _ in range(rng.randrange(1, 300))) for _ in range(40)]
+    short = [si.occurrences(x) for x in texts]
+    monkeypatch.setattr(si, "_SHORT", 0)
+    assert short == [si.occurrences(x) for x in texts]
+
+
+def test_postings_are_made_without_a_shuffle_of_them(spark, chunks, monkeypatch):
+    """Chunks are shuffled once, by their keys; a block's postings are whole, and cut ones add up to them."""
+    seen = []
+    save = si.save
+    monkeypatch.setattr(si, "save", lambda df, label: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or save(df, label))
+    tables, made = si._segment(chunks, "id", "body", ["lang", "source"], 3)
+    assert len(seen) == 1 and seen[0].count("RepartitionByExpression") == 1 and "Aggregate" not in seen[0] and "Window" not in seen[0]
+    docs = {(r.block, r.at): r for r in tables["docs-3"].rows.collect()}
+    assert len(docs) == chunks.count() and {b >> 48 for b, _ in docs} == {3}
+    texts = {r.id: r.body for r in chunks.where("id IS NOT NULL AND id <> 7").collect()}
+    got = {}
+    for r in tables["postings-3"].rows.collect():
+        assert r.n == len(r.rows) and r.most == max(x.n for x in r.rows) and (r.block, r.token) not in got
+        got[r.block, r.token] = {x["at"]: x.n for x in r.rows}
+    for place, row in docs.items():
+        if row.key in texts:
+            words = re.sub("[^a-z0-9]+", " ", (texts[row.key] or "").lower()).strip()
+            assert {t: own[place[1]] for (b, t), own in got.items() if b == place[0] and place[1] in own} == si.occurrences(words)
+    cut = made.sparkSession.createDataFrame([(1, "aaa bbb aaa"), (2, "aaa ccc")], "key long, __norm string").coalesce(1)
+    parts = cut.mapInArrow(si._posted(4096, 0, most=1), "block long, at int, c0 long, token string, most int, n int, rows array<struct<at:int,n:int>>").where("token = 'aaa'").collect()
+    assert sorted((r.block, r.most, r.n, r.rows[0]["at"]) for r in parts) == [(0, 1, 1, 1), (0, 2, 1, 0)]
