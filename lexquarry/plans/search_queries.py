@@ -210,13 +210,15 @@ def ready_units(t: Tables) -> DataFrame:
 @query("""
 SELECT c_custkey, p_partkey FROM customer JOIN part ON (c_mktsegment = 'BUILDING' AND p_brand = 'Brand#1') OR p_partkey = c_custkey OR contains(p_name, 'ring ' || c_custkey)""")
 def category_or_target(t: Tables) -> DataFrame:
-    """Rows of a category, of a target, or named in an id: the category is a bounded filter, the others are keys."""
+    """Rows of a category, of a target, or named in an id: the category is all pairs, the others are keys, and no pair is made twice."""
     c, p = t.customer.select("c_custkey", "c_mktsegment"), t.part.select("p_partkey", "p_brand", "p_name")
-    target = c.join(p, F.col("c_custkey") == F.col("p_partkey"))
-    named = c.join(p.withColumn("n", F.regexp_extract("p_name", r"ring (\d+)", 1).try_cast("long")), F.col("c_custkey") == F.col("n"))
-    one = p.where("p_brand = 'Brand#1'").withColumn("m", F.lit("BUILDING"))
-    category = c.join(one, F.col("c_mktsegment") == F.col("m"))
-    return category.select("c_custkey", "p_partkey").unionByName(target.select("c_custkey", "p_partkey")).unionByName(named.select("c_custkey", "p_partkey")).distinct()
+    building, brand = F.col("c_mktsegment") == "BUILDING", F.col("p_brand") == "Brand#1"
+    category = c.where(building).select("c_custkey").crossJoin(p.where(brand).select("p_partkey"))
+    starts = F.expr(r"flatten(transform(regexp_extract_all(p_name, r'ring (-?\d+)', 1), d -> transform(sequence(1, length(d)), i -> left(d, i))))")
+    own = F.array(F.col("p_partkey").cast("string"))
+    keyed = p.withColumn("key", F.explode(F.array_distinct(F.concat(own, F.coalesce(starts, F.array().cast("array<string>"))))))
+    others = c.join(keyed, F.col("c_custkey").cast("string") == F.col("key")).where(~F.coalesce(building & brand, F.lit(False)))
+    return category.unionByName(others.select("c_custkey", "p_partkey"))
 
 
 # ---- planning of evidence ---------------------------------------------------

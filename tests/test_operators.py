@@ -232,3 +232,21 @@ def test_the_first_of_equal_lines_gives_the_status(spark, tmp_path):
     got = QUERIES[name](spark, str(tmp_path)).select("record_id", "status", "priority", "n_lines").collect()
     assert sorted(map(tuple, got)) == sorted(con.sql(ORACLES[name]).fetchall())
     assert {r.record_id: r.status for r in got} == {1: "F", 2: "O", 3: "F", 4: "F", 5: None, 9: "P"}
+
+
+def test_pairs_of_a_category_or_a_target_are_made_once(spark, tmp_path):
+    """Repeated rows count each, a name counts by every id that begins what follows it, and nothing is made distinct behind the join."""
+    import duckdb
+
+    from lexquarry.plans.catalog import ORACLES, QUERIES
+
+    customers = [(1, "BUILDING"), (1, "BUILDING"), (12, "BUILDING"), (12, None), (123, "HOME"), (7, None), (None, "BUILDING")]
+    parts = [(1, "Brand#1", "a"), (12, "Brand#2", "spring 12 ring 12"), (3, None, "ring 123 ring 07"), (4, "Brand#1", "ring 7"), (5, "Brand#2", None), (7, "Brand#2", "ring x7"), (7, "Brand#2", "ring 1ring 12")]
+    spark.createDataFrame(customers, "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    for t in ("customer", "part"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = QUERIES["category_or_target"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.select("c_custkey", "p_partkey").collect()), key=str) == sorted(con.sql(ORACLES["category_or_target"]).fetchall(), key=str)
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
