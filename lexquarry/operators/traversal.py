@@ -39,13 +39,13 @@ def link_table(edges: DataFrame, relationships: Sequence[str] | None = None, rea
 
 
 def step(frontier: DataFrame, links: DataFrame) -> DataFrame:
-    """What lies one edge beyond ``frontier`` (``start, node, blocks, path, relationships``); only the frontier is shuffled."""
+    """What lies one edge beyond ``frontier`` (``start, node, blocks, path, relationships``); only the frontier is shuffled.
+
+    ``path`` is here what lies between start and node, for a row to hold neither of them twice on its way.
+    """
     asked = frontier.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = asked.join(links, (asked["node"] == links["src"]) & (asked["block"] == links["block"]))
-    return met.select(
-        "start", F.col("dst").alias("node"), F.col("dst_blocks").alias("blocks"),
-        F.concat("path", F.array("dst")).alias("path"), F.concat("relationships", F.array("relationship")).alias("relationships"),
-    )
+    return met.select("start", F.col("dst").alias("node"), F.col("dst_blocks").alias("blocks"), "path", F.concat("relationships", F.array("relationship")).alias("relationships"))
 
 
 def paths(starts: DataFrame, edges: DataFrame, most: int, relationships: Sequence[str] | None = None, ready: DataFrame | None = None) -> DataFrame:
@@ -57,24 +57,31 @@ def paths(starts: DataFrame, edges: DataFrame, most: int, relationships: Sequenc
     and only those go on.  ``starts`` is a table whose first column holds nodes (null: dropped, repeated: once); it need
     not be in ``edges``, nor in ``ready``.  No start or no edge gives no row or the starts alone.
 
-    Edges are bucketed once (:func:`link_table`).  Each round's new rows are written in buckets of (start, node), which
-    is how the next rounds look them up.  The result has a row for each pair, and what is shuffled grows with it.
+    Edges are bucketed once (:func:`link_table`).  Each round's new rows but the last's are written in buckets of (start,
+    node), which is how the next rounds look them up.  The result has a row for each pair, and what is shuffled grows with it.
     """
     links, hubs = link_table(edges, relationships, ready)
     kind = dict(links.dtypes)
     begin = starts.select(F.col(starts.columns[0]).cast(kind["src"]).alias("start")).where("start IS NOT NULL").distinct()
     begin = begin.join(hubs, F.col("start") == F.col("src"), "left").select(
-        "start", F.col("start").alias("node"), F.coalesce("blocks", F.lit(1)).alias("blocks"), F.array("start").alias("path"), F.array().cast(f"array<{kind['relationship']}>").alias("relationships")
+        "start", F.col("start").alias("node"), F.coalesce("blocks", F.lit(1)).alias("blocks"), F.array().cast(f"array<{kind['src']}>").alias("path"), F.array().cast(f"array<{kind['relationship']}>").alias("relationships")
     )
     found = [save_bucketed(begin, ["start", "node"], label="reached")]
-    for _ in range(most):
+    for k in range(most):
+        # the inner nodes of the frontier's paths end with its own node, but for the starts themselves
+        inner = F.concat("path", F.array("node")) if k else F.col("path")
         first = F.min(F.struct("path", "relationships", "blocks")).alias("first")
-        new = step(found[-1], links).groupBy("start", "node").agg(first)
+        new = step(found[-1].withColumn("path", inner), links).groupBy("start", "node").agg(first)
         for known in found:
             new = new.join(known, ["start", "node"], "left_anti")
-        found.append(save_bucketed(new.select("start", "node", "first.blocks", "first.path", "first.relationships"), ["start", "node"], label="reached"))
+        new = new.select("start", "node", "first.blocks", "first.path", "first.relationships")
+        if k + 1 == most:  # no round looks these up, so they are not written
+            found.append(new)
+            break
+        found.append(save_bucketed(new, ["start", "node"], label="reached"))
         if found[-1].isEmpty():
             break
-    drop(links, hubs)
-    rows = (df.select("start", "node", F.lit(k).cast("long").alias("hops"), "path", "relationships") for k, df in enumerate(found))
+    drop(hubs)
+    whole = lambda k: F.concat(F.array("start"), "path", F.array("node")) if k else F.array("start")
+    rows = (df.select("start", "node", F.lit(k).cast("long").alias("hops"), whole(k).alias("path"), "relationships") for k, df in enumerate(found))
     return reduce(DataFrame.unionByName, rows)

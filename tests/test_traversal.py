@@ -77,3 +77,15 @@ def test_a_node_with_half_of_all_edges_lies_in_blocks(spark):
     links, hubs = traversal.link_table(edges)
     assert [tuple(r) for r in hubs.collect()] == [(0, 4)]
     assert max(r.n for r in links.groupBy("src", "block").agg(F.count("*").alias("n")).collect()) < 1200
+
+
+def test_last_round_is_not_written(spark, monkeypatch):
+    """Only rounds that are looked up again are written, and rows on their way hold neither start nor node twice."""
+    labels = []
+    write = traversal.save_bucketed
+    monkeypatch.setattr(traversal, "save_bucketed", lambda df, keys, buckets=None, label="bucketed": labels.append((label, df.columns)) or write(df, keys, buckets, label))
+    edges = spark.createDataFrame([("a", "x", "b"), ("a", "w", "b"), ("b", "x", "c"), ("a", "x", "d"), ("d", "x", "c"), ("c", "x", "a")], "src string, relationship string, dst string")
+    found = traversal.paths(spark.createDataFrame([("a",)], "node string"), edges, 2)
+    got = sorted((r.node, r.hops, r.path, r.relationships) for r in found.collect())
+    assert got == [("a", 0, ["a"], []), ("b", 1, ["a", "b"], ["w"]), ("c", 2, ["a", "b", "c"], ["w", "x"]), ("d", 1, ["a", "d"], ["x"])]
+    assert [label for label, _ in labels].count("reached") == 2
