@@ -2,6 +2,7 @@
 
 import difflib
 import random
+from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
@@ -250,3 +251,35 @@ def test_pairs_of_a_category_or_a_target_are_made_once(spark, tmp_path):
     got = QUERIES["category_or_target"](spark, str(tmp_path))
     assert sorted(map(tuple, got.select("c_custkey", "p_partkey").collect()), key=str) == sorted(con.sql(ORACLES["category_or_target"]).fetchall(), key=str)
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_shared_keys_in_tasks_that_do_not_grow(spark, monkeypatch):
+    monkeypatch.setattr(graph, "PAIRS", 200)
+    monkeypatch.setattr(graph, "BLOCK", 7)
+    rows = [(n, k) for k in range(60) for n in (0, k + 1, k + 2, k + 3)] + [(n, 99) for n in range(40)] + [(1, None), (None, 1), (1, 0)]
+    m = spark.createDataFrame(rows, "n long, k long")
+    held = {}
+    for n, k in rows:
+        if n is not None and k is not None:
+            held.setdefault(k, set()).add(n)
+    want = Counter((a, b) for ns in held.values() for a in ns for b in ns if a < b)
+    edges = graph.shared_key_edges(m, "n", "k")
+    assert {(r.src, r.dst): r.weight for r in edges.collect()} == want
+    # more tasks than the session's shuffles have, as many as the pairs ask
+    assert edges.select(F.spark_partition_id().alias("p")).distinct().count() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = {}
+    for (a, b), w in want.items():
+        both.setdefault(a, []).append((-w, b))
+        both.setdefault(b, []).append((-w, a))
+    got = {r.node: (r.n_edges, r.total_weight, r.heaviest) for r in graph.neighbours(edges).collect()}
+    assert got == {n: (len(es), -sum(w for w, _ in es), min(es)[1]) for n, es in both.items()}
+    assert edges.sparkSession.createDataFrame([], "n long, k long").transform(lambda df: graph.shared_key_edges(df, "n", "k")).count() == 0
+
+
+def test_components_of_shared_keys_by_fewer_links(spark):
+    rows = [(n, k) for k in range(4) for n in range(20 * k, 20 * k + 20)] + [(500, 8), (19, 9), (20, 9), (None, 9), (7, None)]
+    m = spark.createDataFrame(rows, "n long, k long")
+    links, edges = graph.shared_key_links(m, "n", "k"), graph.shared_key_edges(m, "n", "k")
+    assert 8 * links.count() < edges.count()
+    found = [{(r.node, r.component) for r in graph.connected_components(df).collect()} for df in (links, edges)]
+    assert found[0] == found[1]
