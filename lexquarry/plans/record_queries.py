@@ -277,7 +277,7 @@ SELECT (SELECT count(*) FROM supplier)::BIGINT AS nodes, (SELECT count(*) FROM e
        (SELECT max(n) FROM (SELECT count(*) AS n FROM c GROUP BY k))::BIGINT AS largest, ((SELECT count(*) FROM supplier) - count(*))::BIGINT AS isolated FROM c""")
 def graph_summary(t: Tables) -> DataFrame:
     edges = shared_key_graph(t)
-    sizes = graph.connected_components(edges).groupBy("component").agg(F.count("*").alias("n"))
+    sizes = graph.connected_components(graph.shared_key_links(t.lineitem, "l_suppkey", "l_partkey")).groupBy("component").agg(F.count("*").alias("n"))
     inside = sizes.agg(F.count("*").alias("components"), F.coalesce(F.max("n"), F.lit(0)).alias("largest"), F.coalesce(F.sum("n"), F.lit(0)).alias("linked"))
     whole = t.supplier.agg(F.count("*").alias("nodes")).join(edges.agg(F.count("*").alias("edges")), F.lit(True)).join(inside, F.lit(True))  # one row each
     return whole.select("nodes", "edges", "components", "largest", (F.col("nodes") - F.col("linked")).alias("isolated"))
