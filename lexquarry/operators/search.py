@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexquarry.functions.text import STOP_WORDS, contains_term
+from lexquarry.scratch import save
 
 
 @dataclass(frozen=True)
@@ -78,23 +80,22 @@ def score_chunks(chunks: DataFrame, request: Request, rules: Rules, text: str =
     40, and the occurrences of each term (12 at most), 24 for each term that is there as a whole word,
     and the points of the rules for the request's domains and preferred kinds.
     """
-    x = F.col(text)
-    there = [contains_term(x, w).cast("int") for w in request.terms]
-    hits = sum(there, F.lit(0))
-    score = F.lit(40) + 24 * hits + sum((_count(x, w, 12) for w in request.terms), F.lit(0))
-    for domain, term, points in rules.boosts:
-        if domain in request.domains:
-            score = score + F.when(contains_term(x, term), points).otherwise(0)
-    if kind:
-        for name, points in request.preferred:
-            score = score + F.when(F.col(kind) == name, points).otherwise(0)
-    found = chunks.withColumn("hits", hits.cast("long")).where(F.col("hits") >= request.least)
-    if request.anchors:
-        some = contains_term(x, request.anchors[0])
-        for a in request.anchors[1:]:
-            some = some | contains_term(x, a)
-        found = found.where(some)
-    return found.withColumn("score", score.cast("long")).where("score > 0")
+
+    def scored(x: Column) -> Column:
+        hits = sum((contains_term(x, w).cast("int") for w in request.terms), F.lit(0))
+        score = F.lit(40) + 24 * hits + sum((_count(x, w, 12) for w in request.terms), F.lit(0))
+        for domain, term, points in rules.boosts:
+            if domain in request.domains:
+                score = score + F.when(contains_term(x, term), points).otherwise(0)
+        if kind:
+            for name, points in request.preferred:
+                score = score + F.when(F.col(kind) == name, points).otherwise(0)
+        some = reduce(lambda p, q: p | q, (contains_term(x, a) for a in request.anchors)) if request.anchors else F.lit(True)
+        return F.struct(hits.cast("long").alias("hits"), score.cast("long").alias("score"), some.alias("some"))
+
+    # in a lambda the text is put in normal form once; a plain filter would be moved below that step and repeat it for every term
+    found = F.filter(F.transform(F.array(text), scored), lambda r: (r["hits"] >= request.least) & r["some"] & (r["score"] > 0))
+    return chunks.select("*", F.explode(found).alias("_found")).select(*(F.col(f"`{c}`") for c in chunks.columns), "_found.hits", "_found.score")
 
 
 def best_of(found: DataFrame, key: str, place: str) -> DataFrame:
@@ -107,6 +108,7 @@ def spread(found: DataFrame, domain: str, key: str, k: int, domains: tuple[str,
     """Top ``k`` with the best of every required domain first, in the order of the domains, if two are required or more."""
     first = F.lit(len(domains))
     if len(domains) >= 2:
+        found = save(found, "found")  # read twice, and its texts are long to score
         tops = found.where(F.col(domain).isin(*domains)).groupBy(domain).agg(F.max_by(key, F.struct(F.col("score"), -F.col(key))).alias("_top"))
         order = F.coalesce(*(F.when(F.col(domain) == d, i) for i, d in enumerate(domains)))
         found = found.join(F.broadcast(tops), domain, "left")  # one row a required domain

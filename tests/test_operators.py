@@ -283,3 +283,12 @@ def test_components_of_shared_keys_by_fewer_links(spark):
     assert 8 * links.count() < edges.count()
     found = [{(r.node, r.component) for r in graph.connected_components(df).collect()} for df in (links, edges)]
     assert found[0] == found[1]
+
+
+def test_scoring_normalises_each_text_once(spark):
+    from lexquarry.plans.search_queries import _BOTH, RULES
+
+    rows = spark.createDataFrame([(1, "License!  of a SECRET", "de"), (2, None, "de"), (3, "nothing", "en")], "doc_id long, text string, lang string")
+    found = search.score_chunks(rows.select("doc_id", "lang", text.normalize("text").alias("norm")), _BOTH, RULES, kind="lang")
+    assert found._jdf.queryExecution().executedPlan().toString().count("regexp_replace") == 1
+    assert [(r.doc_id, r.hits, r.score) for r in found.collect()] == [(1, 2, 40 + 2 * 24 + 2 + 60)]
