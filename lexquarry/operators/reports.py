@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexquarry.dealing import dealt
 from lexquarry.functions.scoring import coverage_label
 from lexquarry.functions.text import populated
 
@@ -19,18 +20,27 @@ def field_coverage(df: DataFrame) -> DataFrame:
 
 
 def edge_coverage(edges: DataFrame, group: str, source: str, target: str, confidence: str, kind: str) -> DataFrame:
-    """Per group of edges: rows, ends, low confidence, duplicates, mean confidence and the commonest kind."""
-    base = edges.groupBy(group, source, target, kind).agg(F.count("*").alias("n"), F.sum(confidence).alias("total"), F.count_if(F.col(confidence) < 0.05).alias("low"))
-    kinds = base.groupBy(group, kind).agg(F.sum("n").alias("m")).groupBy(group).agg(F.min_by(kind, F.struct(-F.col("m"), kind)).alias("modal_kind"))
-    sums = base.groupBy(group).agg(
-        F.sum("n").alias("rows"),
-        F.count_distinct(source).alias("sources"),
-        F.count_distinct(target).alias("targets"),
-        F.sum("low").alias("low_confidence"),
-        F.sum(F.col("n") - 1).alias("duplicates"),
-        F.round(F.sum("total") / F.sum("n"), 4).alias("mean_confidence"),
+    """Per group of edges: rows, ends, low confidence, duplicates, mean confidence and the commonest kind.
+
+    Distinct edges and ends are found in partitions whose size stays; what is left is a few rows a group.
+    """
+    n = edges.count()
+    sums = edges.groupBy(group, kind).agg(F.count("*").alias("m"), F.sum(confidence).alias("total"), F.count_if(F.col(confidence) < 0.05).alias("low"))
+    sums = sums.groupBy(group).agg(F.sum("m").alias("rows"), F.sum("low").alias("low_confidence"), F.sum("total").alias("total"), F.min_by(kind, F.struct(-F.col("m"), kind)).alias("modal_kind"))
+    once = dealt(edges.select(group, source, target, kind), source, target, rows=n).distinct().groupBy(group).agg(F.count("*").alias("once"))
+    ends = [dealt(edges.select(group, c), c, rows=n).distinct().groupBy(group).agg(F.count(c).alias(name)) for c, name in ((source, "sources"), (target, "targets"))]
+    found = sums.join(once, group).join(ends[0], group).join(ends[1], group)
+    found = found.select(
+        group,
+        "rows",
+        "sources",
+        "targets",
+        "low_confidence",
+        (F.col("rows") - F.col("once")).alias("duplicates"),
+        F.round(F.col("total") / F.col("rows"), 4).alias("mean_confidence"),
+        "modal_kind",
     )
-    return sums.join(kinds, group).withColumn("label", coverage_label(F.col("rows"), F.lit(0), F.col("low_confidence")))
+    return found.withColumn("label", coverage_label(F.col("rows"), F.lit(0), F.col("low_confidence")))
 
 
 def duplicate_groups(df: DataFrame, value: Column, row: str) -> DataFrame:
