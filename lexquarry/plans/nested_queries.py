@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexquarry.dealing import dealt
 from lexquarry.functions import nested, text
 from lexquarry.operators import ranking
 from lexquarry.plans.registry import Tables, query
@@ -178,8 +179,10 @@ def two_way_relations(t: Tables) -> DataFrame:
 def _bills(t: Tables) -> DataFrame:
     """Orders as bills with nested histories and references."""
     entry = F.struct(F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"), F.col("l_linenumber").alias("step"), F.col("l_returnflag").alias("action"), F.col("l_partkey").alias("ref"))
-    history = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("history"))  # the lines of one order
-    return t.orders.join(history, F.col("o_orderkey") == F.col("l_orderkey"))
+    n = t.lineitem.count()
+    lines = dealt(t.lineitem.select("l_orderkey", entry.alias("entry")), "l_orderkey", rows=n)
+    history = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("entry")).alias("history"))  # the lines of one order
+    return dealt(t.orders, "o_orderkey", rows=n).join(history, F.col("o_orderkey") == F.col("l_orderkey"))
 
 
 @query("""
