@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexquarry.dealing import dealt
 from lexquarry.functions import scoring, text
 from lexquarry.operators import graph, joins, ranking, reports
 from lexquarry.plans.registry import Tables, query
@@ -68,9 +69,10 @@ def visible_semi(t: Tables) -> DataFrame:
 SELECT n_name, l_partkey, count(*)::BIGINT AS n, least(round(max(l_discount) * 10, 4), 0.68::DOUBLE) AS confidence
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name, l_partkey""")
 def agency_derivation_join(t: Tables) -> DataFrame:
-    nations = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), "n_name")
-    per_supplier = t.lineitem.groupBy("l_suppkey", "l_partkey").agg(F.count("*").alias("n"), F.max("l_discount").alias("d"))  # before the join
-    return per_supplier.join(nations, "l_suppkey").groupBy("n_name", "l_partkey").agg(F.sum("n").alias("n"), F.least(F.round(F.max("d") * 10, 4), F.lit(0.68)).alias("confidence"))
+    n = t.lineitem.count()
+    per_supplier = dealt(t.lineitem.select("l_suppkey", "l_partkey", "l_discount"), "l_suppkey", "l_partkey", rows=n).groupBy("l_suppkey", "l_partkey").agg(F.count("*").alias("n"), F.max("l_discount").alias("d"))  # before the join
+    placed = per_supplier.join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey")), "l_suppkey").join(t.nation.select("n_nationkey", "n_name"), "n_nationkey")
+    return dealt(placed.select("n_name", "l_partkey", "n", "d"), "l_partkey", rows=n).groupBy("n_name", "l_partkey").agg(F.sum("n").alias("n"), F.least(F.round(F.max("d") * 10, 4), F.lit(0.68)).alias("confidence"))
 
 
 @query("SELECT o_orderkey, o_custkey, coalesce(c_mktsegment, 'unknown') AS segment, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
