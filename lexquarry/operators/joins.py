@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lexquarry.dealing import dealt
 from lexquarry.scratch import save
 
 
@@ -30,6 +31,13 @@ def merged(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     )
 
 
+def sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``key, n_left, n_right``: rows of each key in the first column of either table; null is a key too, which a join matches with nothing."""
+    a = left.select(F.col(left.columns[0]).alias("key"), F.lit(1).alias("l"), F.lit(0).alias("r"))
+    b = right.select(F.col(right.columns[0]).alias("key"), F.lit(0).alias("l"), F.lit(1).alias("r"))
+    return dealt(a.unionByName(b), "key", rows=left.count() + right.count()).groupBy("key").agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+
+
 def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> DataFrame:
     """``left`` with the ``value`` of the last ``right`` row of its key at or before its time.
 

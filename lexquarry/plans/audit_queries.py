@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexquarry.dealing import dealt
 from lexquarry.functions import markup, outline, text
-from lexquarry.operators import ranking, reports
+from lexquarry.operators import joins, ranking, reports
 from lexquarry.plans.registry import Tables, query
 
 # ---- registries and coverage ------------------------------------------------
@@ -264,12 +265,13 @@ SELECT check_name, count(*)::BIGINT AS broken FROM (SELECT 'orphan_line' AS chec
  UNION ALL SELECT 'repeated_line' FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)) GROUP BY 1""")
 def stress_invariants(t: Tables) -> DataFrame:
     """What should never be, counted by check."""
-    named = lambda df, name: df.select(F.lit(name).alias("check_name"))
-    o, li = F.col("o_orderkey"), F.col("l_orderkey")
-    rows = named(t.lineitem.join(t.orders, li == o, "left_anti"), "orphan_line").unionByName(named(t.orders.join(t.lineitem, li == o, "left_anti"), "empty_order"))
-    rows = rows.unionByName(named(t.events.join(t.customer, F.col("user_id") == F.col("c_custkey"), "left_anti"), "unknown_user"))
-    rows = rows.unionByName(named(t.lineitem.groupBy("l_orderkey", "l_linenumber").count().where("count > 1"), "repeated_line"))
-    return rows.groupBy("check_name").agg(F.count("*").alias("broken"))
+    alone = lambda n, other: F.sum(F.when(F.col("key").isNull() | (F.col(other) == 0), F.col(n)))
+    lines = joins.sides(t.lineitem.select("l_orderkey"), t.orders.select("o_orderkey")).agg(alone("n_left", "n_right").alias("orphan_line"), alone("n_right", "n_left").alias("empty_order"))
+    users = joins.sides(t.events.select("user_id"), t.customer.select("c_custkey")).agg(alone("n_left", "n_right").alias("unknown_user"))
+    numbers = dealt(t.lineitem.select("l_orderkey", "l_linenumber"), "l_orderkey", "l_linenumber").groupBy("l_orderkey", "l_linenumber").count()
+    repeated = numbers.where("count > 1").agg(F.count("*").alias("repeated_line"))
+    named = lambda df: df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check_name"), F.col(c).alias("broken")) for c in df.columns))).alias("r")).select("r.*")
+    return named(lines).unionByName(named(users)).unionByName(named(repeated)).where("broken > 0")
 
 
 # ---- stores and budgets -----------------------------------------------------
