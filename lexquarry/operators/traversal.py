@@ -26,14 +26,16 @@ def link_table(edges: DataFrame, relationships: Sequence[str] | None = None, rea
     if relationships is not None:
         kept = kept.where(F.col("relationship").isin(*relationships))
     if ready is not None:
-        kept = kept.join(ready.select(F.col(ready.columns[0]).alias("dst")), "dst", "left_semi")
-    kept = save_bucketed(kept.distinct(), ["src"], label="edges")
-    hubs = kept.groupBy("src").agg(F.ceil(F.count("*") / FANOUT).alias("blocks")).where("blocks > 1")
+        kept = kept.join(ready.select(F.col(ready.columns[0]).alias("dst")).distinct(), "dst", "left_semi")
+    # in buckets first, so that repeated edges are dropped where they lie and need no shuffle of their own
+    kept = save_bucketed(kept, ["src"], label="edges")
+    once = kept.distinct()
+    several = save_bucketed(once.groupBy("src").agg(F.ceil(F.count("*") / FANOUT).alias("blocks")).where("blocks > 1"), ["src"], label="hubs")
+    hubs = F.broadcast(several)  # one row for FANOUT edges at most
     own = F.pmod(F.xxhash64("dst", "relationship"), F.coalesce("blocks", F.lit(1)))
-    ends = hubs.select(F.col("src").alias("dst"), F.col("blocks").alias("dst_blocks"))
-    placed = kept.join(hubs, "src", "left").select("src", own.alias("block"), "relationship", "dst").join(ends, "dst", "left")
+    ends = F.broadcast(several.select(F.col("src").alias("dst"), F.col("blocks").alias("dst_blocks")))
+    placed = once.join(hubs, "src", "left").select("src", own.alias("block"), "relationship", "dst").join(ends, "dst", "left")
     links = save_bucketed(placed.select("src", "block", "relationship", "dst", F.coalesce("dst_blocks", F.lit(1)).alias("dst_blocks")), ["src", "block"], label="links")
-    several = save_bucketed(hubs, ["src"], label="hubs")
     drop(kept)
     return links, several
 

@@ -89,3 +89,12 @@ def test_last_round_is_not_written(spark, monkeypatch):
     got = sorted((r.node, r.hops, r.path, r.relationships) for r in found.collect())
     assert got == [("a", 0, ["a"], []), ("b", 1, ["a", "b"], ["w"]), ("c", 2, ["a", "b", "c"], ["w", "x"]), ("d", 1, ["a", "d"], ["x"])]
     assert [label for label, _ in labels].count("reached") == 2
+
+
+def test_edges_are_shuffled_only_to_their_buckets(spark, monkeypatch):
+    plans, plain = [], traversal.save_bucketed
+    monkeypatch.setattr(traversal, "save_bucketed", lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, *a, **k))
+    edges = spark.createDataFrame([("a", "r", f"b{k % 40}") for k in range(80)] + [("b1", "r", "c"), (None, "r", "c")], "src string, relationship string, dst string")
+    links, hubs = traversal.link_table(edges)
+    assert not any("ENSURE_REQUIREMENTS" in p.split("Initial Plan")[-1] and "hashpartitioning" in p for p in plans)
+    assert links.count() == 41 and hubs.count() == 0
