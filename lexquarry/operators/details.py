@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.operators.ranking import numbered
-from lexquarry.scratch import save_bucketed
+from lexquarry.scratch import drop, save, save_bucketed
 
 #: Children of one kind in one record; an entity with more has further pages.
 PAGE = 1000
@@ -16,11 +16,12 @@ PAGE = 1000
 
 @dataclass(frozen=True)
 class Details:
-    """The tables of :func:`build_details`, all bucketed by ``record``: key, stroke and number of the page."""
+    """The tables of :func:`build_details`, all bucketed by ``record``: key, stroke and number of the page; columns of each kind."""
 
     key: str
     spine: DataFrame
     children: dict[str, DataFrame]
+    columns: dict[str, list[str]]
 
 
 def two_ways(relations: DataFrame, entities: DataFrame, key: str, title: list[str]) -> DataFrame:
@@ -46,19 +47,26 @@ def _record(key: str, page) -> F.Column:
 def build_details(entities: DataFrame, key: str, children: dict[str, tuple[DataFrame, list[str]]]) -> Details:
     """Write entities and their children in buckets, once, for many reads of :func:`records`.
 
-    ``children`` gives for each kind a table with a column ``key`` and the columns of its order (ties come in any
-    order).  Each entity has as many pages as its longest kind needs, of PAGE children of a kind each, at least one:
+    ``children`` gives for each kind a table with a column ``key`` and the columns of its order (ties go by the
+    other columns).  Each entity has as many pages as its longest kind needs, of PAGE children of a kind each, at least one:
     so an entity that owns a third of all rows is many records in many buckets.  Of repeated entities the least row
     counts; null keys, and children of no entity, are left out.
     """
-    tables, pages = {}, None
+    tables, fields, pages = {}, {}, None
     for kind, (df, order) in children.items():
-        own_row = F.struct(*(F.col(f"`{c}`") for c in df.columns if c != key)).alias("row")  # its columns may have any names
-        bare = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), own_row, *(F.col(c).alias(f"_by{i}") for i, c in enumerate(order)))
-        placed = numbered(bare, "_key", *(F.col(f"_by{i}") for i in range(len(order)))).withColumn("_page", F.floor((F.col("rank") - 1) / PAGE))
-        rows = placed.select(_record("_key", F.col("_page")).alias("record"), F.struct("rank", "row").alias("item"))
+        fields[kind] = [c for c in df.columns if c != key]
+        first = [c for c in order if c != key]
+        item = F.struct(*(F.col(f"`{c}`") for c in first + [c for c in fields[kind] if c not in first])).alias("item")  # sorts as the order says
+        bare = save(df.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), item), "child")
+        large = save(bare.groupBy("_key").agg(F.ceil(F.count("*") / PAGE).alias("_pages")).where("_pages > 1"), "large")
+        names = F.broadcast(large.select("_key"))  # one row for PAGE children at most
+        rows = bare.join(names, "_key", "left_anti").select(_record("_key", F.lit(0)).alias("record"), "item")
+        if not large.isEmpty():  # only these have to be numbered
+            placed = numbered(bare.join(names, "_key", "left_semi"), "_key", F.col("item"))
+            rows = rows.unionByName(placed.select(_record("_key", F.floor((F.col("rank") - 1) / PAGE)).alias("record"), "item"))
         tables[kind] = save_bucketed(rows, ["record"], label="detail")
-        own = placed.groupBy(F.col("_key").alias(key)).agg((F.max("_page") + 1).alias("_pages"))
+        drop(bare)
+        own = large.select(F.col("_key").alias(key), "_pages")
         pages = own if pages is None else pages.unionByName(own)
     columns = [c for c in entities.columns if c != key]
     once = entities.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in columns))).alias("entity"))
@@ -69,7 +77,7 @@ def build_details(entities: DataFrame, key: str, children: dict[str, tuple[DataF
     n = F.coalesce("_pages", F.lit(1).cast("long"))
     spread = once.select(key, "entity", n.alias("n_pages"), F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("page"))
     spine = save_bucketed(spread.select(_record(key, F.col("page")).alias("record"), key, "page", "n_pages", "entity"), ["record"], label="detail")
-    return Details(key, spine, tables)
+    return Details(key, spine, tables, fields)
 
 
 def records(details: Details, asked: tuple[str, int] | None = None) -> DataFrame:
@@ -83,6 +91,6 @@ def records(details: Details, asked: tuple[str, int] | None = None) -> DataFrame
         name = f"{asked[0]}/{asked[1]}"
         spine, tables = spine.where(F.col("record") == name), {k: df.where(F.col("record") == name) for k, df in tables.items()}
     for kind, df in tables.items():
-        nested = df.groupBy("record").agg(F.transform(F.array_sort(F.collect_list("item")), lambda x: x["row"]).alias(kind))
+        nested = df.groupBy("record").agg(F.transform(F.array_sort(F.collect_list("item")), lambda x: F.struct(*(x[c].alias(c) for c in details.columns[kind]))).alias(kind))
         spine = spine.join(nested, "record", "left").withColumn(kind, F.coalesce(kind, F.array().cast(nested.schema[kind].dataType)))
     return spine.drop("record")

@@ -61,3 +61,18 @@ def test_no_entities_and_no_children(spark):
     (r,) = details.records(details.build_details(some, "key", {"rows": (none, ["n"])})).collect()
     assert r.rows == [] and r.n_pages == 1
     assert details.records(details.build_details(some, "key", {})).count() == 1
+
+
+def test_only_large_entities_are_numbered(spark, monkeypatch):
+    from lexquarry.operators import details
+
+    counted, plain = [], details.numbered
+    monkeypatch.setattr(details, "numbered", lambda df, *a: counted.append(df.count()) or plain(df, *a))
+    monkeypatch.setattr(details, "PAGE", 10)
+    entities = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "key string, title long")
+    few = spark.createDataFrame([("a", k) for k in range(10)] + [("c", 5)], "key string, at long")
+    many = spark.createDataFrame([("a", k) for k in range(25)] + [("b", 7)], "key string, at long")
+    built = details.build_details(entities, "key", {"few": (few, ["at"]), "many": (many, ["at"])})
+    got = {(r.key, r.page): ([x["at"] for x in r.few], [x["at"] for x in r.many], r.n_pages) for r in details.records(built).collect()}
+    assert counted == [25]
+    assert got == {("a", 0): ([*range(10)], [*range(10)], 3), ("a", 1): ([], [*range(10, 20)], 3), ("a", 2): ([], [*range(20, 25)], 3), ("b", 0): ([], [7], 1), ("c", 0): ([5], [], 1)}
