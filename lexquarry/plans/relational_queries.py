@@ -34,10 +34,12 @@ def alias_resolve(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH m AS (SELECT l_orderkey AS k, arg_max(l_linestatus, (l_shipdate, l_linenumber)) AS status, count(*)::BIGINT AS n_lines FROM lineitem WHERE l_shipdate >= DATE '1995-06-01' GROUP BY 1),
+WITH l AS (SELECT *, row_number() OVER () AS place FROM lineitem),
+     m AS (SELECT l_orderkey AS k, arg_max(l_linestatus, (l_shipdate, l_linenumber, -place)) AS status, count(*)::BIGINT AS n_lines FROM l WHERE l_shipdate >= DATE '1995-06-01' GROUP BY 1),
      q AS (SELECT o_orderkey AS k, o_orderstatus AS status, o_orderpriority AS priority FROM orders WHERE o_totalprice > 100000)
 SELECT coalesce(q.k, m.k) AS record_id, coalesce(q.status, m.status) AS status, priority, n_lines FROM q FULL JOIN m ON q.k = m.k""")
 def queue_manifest_full_outer(t: Tables) -> DataFrame:
+    """Large orders beside the lines since June 1995, whose status is that of the latest; ``place`` is a line's place in the table."""
     lines = t.lineitem.where("l_shipdate >= DATE'1995-06-01'").select("*", "_metadata.file_path", "_metadata.row_index")
     # of lines of the latest day and number, the first in the table; lines without a status give none
     latest = F.struct(-F.unix_micros(F.col("l_shipdate").cast("timestamp")), -F.col("l_linenumber"), "file_path", "row_index")

@@ -235,6 +235,26 @@ def test_the_first_of_equal_lines_gives_the_status(spark, tmp_path):
     assert {r.record_id: r.status for r in got} == {1: "F", 2: "O", 3: "F", 4: "F", 5: None, 9: "P"}
 
 
+def test_the_sql_leaves_no_status_to_chance(spark, tmp_path):
+    """Equal lines that lie in parts of the table which the SQL's engine reads at once: it too takes the first in the table."""
+    import duckdb
+
+    from lexquarry.plans.catalog import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    con.sql("SET threads = 8")
+    lines = "SELECT range % 4000 AS l_orderkey, 1 AS l_linenumber, chr((65 + range // 4000)::INT) AS l_linestatus, TIMESTAMP '1996-01-01' AS l_shipdate FROM range(80000)"
+    con.sql(f"COPY ({lines}) TO '{tmp_path}/lineitem.parquet' (ROW_GROUP_SIZE 2048)")
+    con.sql(f"COPY (SELECT 9::BIGINT AS o_orderkey, 'P' AS o_orderstatus, 2e5::DOUBLE AS o_totalprice, 'high' AS o_orderpriority) TO '{tmp_path}/orders.parquet'")
+    for t in ("lineitem", "orders"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    name = "queue_manifest_full_outer"
+    got = QUERIES[name](spark, str(tmp_path)).select("record_id", "status", "priority", "n_lines").collect()
+    assert {r.status for r in got} == {"A", "P"}
+    for _ in range(5):
+        assert sorted(map(tuple, got)) == sorted(con.sql(ORACLES[name]).fetchall())
+
+
 def test_pairs_of_a_category_or_a_target_are_made_once(spark, tmp_path):
     """Repeated rows count each, a name counts by every id that begins what follows it, and nothing is made distinct behind the join."""
     import duckdb
