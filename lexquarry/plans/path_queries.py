@@ -4,21 +4,33 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.operators import traversal
 from lexquarry.plans.registry import Tables, query
 
 
+#: Kinds of nodes: a walk runs over the code ``8 * key + kind``, a node's name is the letter and the key.
+_KINDS = "copsn"
+
+
+def _code(kind: str, key: str) -> Column:
+    return F.col(key).cast("long") * 8 + _KINDS.index(kind)
+
+
+def _name(code: Column) -> Column:
+    return F.concat(F.substring(F.lit(_KINDS), F.pmod(code, F.lit(8)).cast("int") + 1, F.lit(1)), F.shiftright(code, 3).cast("string"))
+
+
 def _edges(t: Tables) -> DataFrame:
-    """Customers placed orders, orders hold parts, parts are supplied by suppliers, and all but parts lie in nations."""
+    """Customers placed orders, orders hold parts, parts are supplied by suppliers, and all but parts lie in nations; pending orders are left out."""
 
     def link(df: DataFrame, a: str, src: str, relationship: str, b: str, dst: str) -> DataFrame:
-        return df.select(F.concat(F.lit(a), src).alias("src"), F.lit(relationship).alias("relationship"), F.concat(F.lit(b), dst).alias("dst"))
+        return df.select(_code(a, src).alias("src"), F.lit(relationship).alias("relationship"), _code(b, dst).alias("dst"))
 
     parts = (
-        link(t.orders, "c", "o_custkey", "placed", "o", "o_orderkey"), link(t.lineitem, "o", "l_orderkey", "holds", "p", "l_partkey"),
+        link(t.orders.where("o_orderstatus <> 'P'"), "c", "o_custkey", "placed", "o", "o_orderkey"), link(t.lineitem, "o", "l_orderkey", "holds", "p", "l_partkey"),
         link(t.lineitem, "p", "l_partkey", "supplied_by", "s", "l_suppkey"), link(t.customer, "c", "c_custkey", "lies_in", "n", "c_nationkey"),
         link(t.supplier, "s", "s_suppkey", "lies_in", "n", "s_nationkey"),
     )
@@ -33,30 +45,18 @@ _SQL = """e AS (SELECT DISTINCT * FROM (SELECT 'c' || o_custkey AS src, 'placed'
  f AS (SELECT *, row_number() OVER (PARTITION BY start, node ORDER BY hops, path, rels) AS nth FROM r)"""
 
 
-def _row(found: DataFrame) -> DataFrame:
-    return found.select("start", "node", "hops", F.array_join("path", ">").alias("path"), F.array_join("relationships", ">").alias("relationships"))
-
-
 _GIVEN = "SELECT start, node, hops::BIGINT AS hops, array_to_string(path, '>') AS path, array_to_string(rels, '>') AS relationships FROM f WHERE nth = 1"
 _ASKED = ("placed", "holds", "supplied_by")
 
 
-def _ready(t: Tables) -> DataFrame:
-    """All nodes but pending orders."""
-    orders = t.orders.where("o_orderstatus <> 'P'").select(F.concat(F.lit("o"), "o_orderkey").alias("node"))
-    others = _edges(t).where("dst NOT LIKE 'o%'").select(F.col("dst").alias("node"))
-    return orders.unionByName(others)
-
-
 @query(f"WITH RECURSIVE {_SQL.format(which='WHERE rel IN ' + str(_ASKED), start="('c' || c_custkey)", starts='customer', most=3)} {_GIVEN}")
 def purchase_paths(t: Tables) -> DataFrame:
     """What each customer reaches by three edges of purchases, pending orders left out."""
-    starts = t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("node"))
-    return _row(traversal.paths(starts, _edges(t), 3, _ASKED, _ready(t)))
+    return traversal.paths(t.customer.select(_code("c", "c_custkey")), _edges(t), 3, _ASKED, name=_name, joined=">")
 
 
 @query(f"WITH RECURSIVE {_SQL.format(which='', start="('p' || p_partkey)", starts='part', most=2)}, g AS ({_GIVEN}) SELECT node, count(*)::BIGINT AS n_starts, min(path) AS least_path FROM g WHERE node LIKE 'n%' GROUP BY node")
 def nation_reach(t: Tables) -> DataFrame:
     """How many parts come from each nation by a supplier, with the least path."""
-    found = _row(traversal.paths(t.part.select(F.concat(F.lit("p"), "p_partkey").alias("node")), _edges(t), 2, ready=_ready(t)))
+    found = traversal.paths(t.part.select(_code("p", "p_partkey")), _edges(t), 2, name=_name, joined=">")
     return found.where("node LIKE 'n%'").groupBy("node").agg(F.count("*").alias("n_starts"), F.min("path").alias("least_path"))

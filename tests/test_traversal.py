@@ -98,3 +98,21 @@ def test_edges_are_shuffled_only_to_their_buckets(spark, monkeypatch):
     links, hubs = traversal.link_table(edges)
     assert not any("ENSURE_REQUIREMENTS" in p.split("Initial Plan")[-1] and "hashpartitioning" in p for p in plans)
     assert links.count() == 41 and hubs.count() == 0
+
+
+@pytest.mark.parametrize("pairs", [1_000_000, 12])
+def test_starts_are_sent_lists_and_compare_them_by_name(spark, monkeypatch, pairs):
+    """What goes to a start is a list of ends for each path, of a start of many (12: nearly all) to several tasks; codes are ordered by their names."""
+    monkeypatch.setattr(traversal, "FANOUT", 4)
+    monkeypatch.setattr(traversal, "PAIRS", pairs)
+    draw = random.Random(pairs)
+    edges = [(draw.randrange(60), draw.choice("ab"), draw.randrange(60), 1.0) for _ in range(240)] + [(3, "a", n, 1.0) for n in range(60)]
+    starts = list(range(0, 30, 2))
+    asked = spark.createDataFrame([(s,) for s in starts], "id long")
+    found = traversal.paths(asked, spark.createDataFrame(edges, SCHEMA), 3, name=lambda c: F.concat(F.lit("n"), c.cast("string")), joined=">")
+    want = _plain([f"n{s}" for s in starts], [(f"n{s}", r, f"n{d}", w) for s, r, d, w in edges], 3, None, None)
+    rows = found.collect()
+    assert {(r.start, r.node): (r.hops, r.path, r.relationships) for r in rows} == {pair: (k, ">".join(path), ">".join(rels)) for pair, (k, path, rels) in want.items()}
+    assert len(rows) == len(want)
+    sent = [line for line in found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].splitlines() if "Exchange hashpartitioning(start" in line]
+    assert sent and not any("node" in line for line in sent)
