@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lexquarry.dealing import dealt
+from lexquarry.dealing import dealt, partitions
 from lexquarry.scratch import save
 
+#: Rows of the right table in one list, in one band of lists, and pairs made in one cell, on average (:func:`all_pairs`).
+LIST, BAND, PAIRS = 500, 10_000, 20_000_000
+
 
 def resolve_aliases(aliases: DataFrame) -> DataFrame:
     """One entity for each alias: the least (priority, id) of ``alias, priority, kind, id``."""
@@ -38,6 +42,24 @@ def sides(left: DataFrame, right: DataFrame) -> DataFrame:
     return dealt(a.unionByName(b), "key", rows=left.count() + right.count()).groupBy("key").agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
 
 
+def all_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Each row of ``left`` with each of ``right``, whose columns have other names; the larger table goes to the left.
+
+    The right rows lie in lists and the lists in bands, the left rows in groups.  A band and a group meet in a cell, which is one task's
+    work of a bounded size: there a left row meets lists, and only behind the join a row is made for each pair.
+    """
+    n, m = left.count(), right.count()
+    lists, bands, groups = max(ceil(m / LIST), 1), max(ceil(m / BAND), 1), max(ceil(n * min(m, BAND) / PAIRS), 1)
+    dealt_to = lambda df, k: F.pmod(F.xxhash64(*df.columns), F.lit(k))
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    rows = right.groupBy(dealt_to(right, lists).alias("_list")).agg(F.collect_list(F.struct(*right.columns)).alias("_rows"))
+    rows = save(rows.select(F.pmod("_list", F.lit(bands)).cast("int").alias("_band"), "_rows"), "lists").withColumn("_group", every(groups))
+    own = left.withColumn("_group", dealt_to(left, groups).cast("int")).withColumn("_band", every(bands))
+    cells = partitions(left, groups * bands, 1)
+    met = own.repartition(cells, "_group", "_band").join(rows.repartition(cells, "_group", "_band"), ["_group", "_band"])
+    return met.select(*left.columns, F.explode("_rows").alias("_row")).select(*left.columns, "_row.*")
+
+
 def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> DataFrame:
     """``left`` with the ``value`` of the last ``right`` row of its key at or before its time.
 

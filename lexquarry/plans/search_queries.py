@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.functions import text
-from lexquarry.operators import ranking, search
+from lexquarry.operators import joins, ranking, search
 from lexquarry.plans.registry import Tables, query
 
 # Rules of the example corpus, whose texts are invented prose with licence lines, secrets and insults.
@@ -213,7 +213,7 @@ def category_or_target(t: Tables) -> DataFrame:
     """Rows of a category, of a target, or named in an id: the category is all pairs, the others are keys, and no pair is made twice."""
     c, p = t.customer.select("c_custkey", "c_mktsegment"), t.part.select("p_partkey", "p_brand", "p_name")
     building, brand = F.col("c_mktsegment") == "BUILDING", F.col("p_brand") == "Brand#1"
-    category = c.where(building).select("c_custkey").crossJoin(p.where(brand).select("p_partkey"))
+    category = joins.all_pairs(c.where(building).select("c_custkey"), p.where(brand).select("p_partkey"))
     starts = F.expr(r"flatten(transform(regexp_extract_all(p_name, r'ring (-?\d+)', 1), d -> transform(sequence(1, length(d)), i -> left(d, i))))")
     own = F.array(F.col("p_partkey").cast("string"))
     keyed = p.withColumn("key", F.explode(F.array_distinct(F.concat(own, F.coalesce(starts, F.array().cast("array<string>"))))))

@@ -273,6 +273,28 @@ def test_pairs_of_a_category_or_a_target_are_made_once(spark, tmp_path):
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_all_pairs_meet_in_cells_of_a_bounded_size(spark, monkeypatch, tmp_path):
+    """Each pair of rows once, repeated and null rows too; no product of whole tables is left in the plan."""
+    from lexquarry.operators import joins
+    from lexquarry.plans.catalog import QUERIES
+
+    monkeypatch.setattr(joins, "LIST", 5)
+    monkeypatch.setattr(joins, "BAND", 20)
+    monkeypatch.setattr(joins, "PAIRS", 300)
+    left = [(k % 90, str(k % 7)) for k in range(100)] + [(None, None)] * 2
+    right = [(k % 60,) for k in range(70)] + [(None,)]
+    a, b = spark.createDataFrame(left, "a long, s string"), spark.createDataFrame(right, "b long")
+    found = joins.all_pairs(a, b)
+    assert Counter(map(tuple, found.collect())) == Counter((*x, *y) for x in left for y in right)
+    assert max(r.n for r in found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) < 3000  # of 7,242
+    assert joins.all_pairs(a.where("a > 100"), b).count() == joins.all_pairs(a, b.where("b > 100")).count() == 0
+    spark.createDataFrame([(k, "BUILDING") for k in range(30)], "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k, "Brand#1", "a") for k in range(30)], "p_partkey long, p_brand string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    query = QUERIES["category_or_target"](spark, str(tmp_path))
+    assert query.count() == 900
+    assert not any(way in query._jdf.queryExecution().executedPlan().toString() for way in ("CartesianProduct", "NestedLoop"))
+
+
 def test_shared_keys_in_tasks_that_do_not_grow(spark, monkeypatch):
     monkeypatch.setattr(graph, "PAIRS", 200)
     monkeypatch.setattr(graph, "BLOCK", 7)
