@@ -334,7 +334,7 @@ def shared_key_graph(t: Tables) -> DataFrame:
 WITH {_EDGES_SQL}, b AS (SELECT src AS node, dst AS other, weight FROM e UNION ALL SELECT dst, src, weight FROM e)
 SELECT node, count(*)::BIGINT AS n_edges, sum(weight)::BIGINT AS total_weight, arg_min(other, (-weight, other)) AS heaviest FROM b GROUP BY node""")
 def graph_neighbors(t: Tables) -> DataFrame:
-    return graph.neighbours(shared_key_graph(t))
+    return graph.shared_key_neighbours(_supplied(t), "l_suppkey", "l_partkey")
 
 
 @query()

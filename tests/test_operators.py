@@ -318,6 +318,22 @@ def test_shared_keys_in_tasks_that_do_not_grow(spark, monkeypatch):
     assert edges.sparkSession.createDataFrame([], "n long, k long").transform(lambda df: graph.shared_key_edges(df, "n", "k")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_neighbours_by_shared_keys_without_edges(spark, monkeypatch, kind):
+    """The same as from the edges, in blocks and slices too; of equal weights the least node; no pair is shuffled."""
+    monkeypatch.setattr(graph, "PAIRS", 150)
+    monkeypatch.setattr(graph, "BLOCK", 7)
+    rows = [(n, k) for k in range(60) for n in (0, k % 9 + 1, k % 7 + 11, k + 3)] + [(n, 99) for n in range(40)] + [(77, 101), (1, None), (None, 1), (1, 0), (1, 0)]
+    m = spark.createDataFrame(rows, "n long, k long").select(F.col("n").cast(kind).alias("n"), "k")
+    found = graph.shared_key_neighbours(m, "n", "k")
+    want = graph.neighbours(graph.shared_key_edges(m, "n", "k"))
+    assert found.dtypes == want.dtypes
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, want.collect())) and want.count() > 60
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "weight" in line] and plan.count("Exchange hashpartitioning") == 2
+    assert graph.shared_key_neighbours(m.where("k > 500"), "n", "k").count() == 0
+
+
 def test_components_of_shared_keys_by_fewer_links(spark):
     rows = [(n, k) for k in range(4) for n in range(20 * k, 20 * k + 20)] + [(500, 8), (19, 9), (20, 9), (None, 9), (7, None)]
     m = spark.createDataFrame(rows, "n long, k long")
